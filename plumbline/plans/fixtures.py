@@ -13,6 +13,7 @@ from plumbline.functions.text import BOM
 from plumbline.operators.quality import flag_rows
 from plumbline.operators.classify import valid_by_flag
 from plumbline.operators.registry import REGISTRY_SCHEMA
+from plumbline.session import cut_lineage
 from plumbline.plans.drill import (
     BASELINE_FINGERPRINT,
     BASELINE_URL,
@@ -81,10 +82,6 @@ def flags_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flag_rows(stg_multi(spark, sf_dir))
 
 
-def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return valid_by_flag(flags(spark, sf_dir))
-
-
 def master_of(valid_rows: DataFrame) -> DataFrame:
     """Master that lacks every tenth row and holds another rate for the next."""
     tenth = F.col("source_row_no") % 10
@@ -102,8 +99,19 @@ def master_of(valid_rows: DataFrame) -> DataFrame:
     )
 
 
-def mst(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return master_of(valid(spark, sf_dir))
+def loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Valid rows, computed once and written, and the master derived from them."""
+    valid = cut_lineage(valid_by_flag(flags(spark, sf_dir)))
+    return valid, master_of(valid)
+
+
+def multi_flags(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Flagged rows of the four runs, computed once and written, and the master.
+
+    The master comes from the rows as one run, where duplicates span the four.
+    """
+    flagged = cut_lineage(flags_multi(spark, sf_dir))
+    return flagged, loads(spark, sf_dir)[1]
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from plumbline.operators import rollback as B
 from plumbline.operators import upsert as U
 from plumbline.plans import drill as D
 from plumbline.plans import fixtures as X
-from plumbline.session import shared_folder
+from plumbline.session import cut_lineage, shared_folder
 from plumbline.sources import batches, landing, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -286,7 +286,7 @@ def dq_exceptions(spark, sf_dir):
 
 @registered
 def exception_load(spark, sf_dir):
-    detected = _exceptions(X.flags_multi(spark, sf_dir))
+    detected = cut_lineage(_exceptions(X.flags_multi(spark, sf_dir)))
     logged = detected.where("source_row_no % 3 = 0")
     return Q.exception_load_summary(detected, Q.new_exceptions(detected, logged))
 
@@ -303,7 +303,7 @@ def invalid_record_count(spark, sf_dir):
 
 @registered
 def invalid_agreement(spark, sf_dir):
-    flags = X.flags_multi(spark, sf_dir)
+    flags = cut_lineage(X.flags_multi(spark, sf_dir))
     return Q.invalid_agreement(flags, _exceptions(flags))
 
 
@@ -312,7 +312,7 @@ def invalid_agreement(spark, sf_dir):
 
 @registered
 def valid_by_flag(spark, sf_dir):
-    return plain(X.valid(spark, sf_dir))
+    return plain(C.valid_by_flag(X.flags(spark, sf_dir)))
 
 
 @registered
@@ -322,111 +322,118 @@ def valid_by_antijoin(spark, sf_dir):
     return plain(C.valid_by_exceptions(typed, exceptions, Q.RECORD_KEY))
 
 
-def _classified(spark, sf_dir):
-    return C.classify(X.valid(spark, sf_dir), X.mst(spark, sf_dir))
-
-
 @registered
 def classify(spark, sf_dir):
-    return plain(_classified(spark, sf_dir))
+    return plain(C.classify(*X.loads(spark, sf_dir)))
+
+
+def _ordered_runs(spark, sf_dir):
+    flags, master = X.multi_flags(spark, sf_dir)
+    return C.classify_in_order(C.valid_by_flag(flags), master, "run_id"), master
 
 
 @registered
 def classify_in_order(spark, sf_dir):
     """Four runs classified in one job as if loaded one after the other."""
-    valid = C.valid_by_flag(X.flags_multi(spark, sf_dir))
-    return plain(C.classify_in_order(valid, X.mst(spark, sf_dir), "run_id"))
+    return plain(_ordered_runs(spark, sf_dir)[0])
+
+
+_STICKY_KEY = ["run_id", "source_row_no", "series_id"]
 
 
 def _sticky(spark, sf_dir):
     """Every third row was classified before, as NEW."""
-    classified = _classified(spark, sf_dir)
-    existing = X.valid(spark, sf_dir).where("source_row_no % 3 = 0").withColumn(
-        "load_action", F.lit("NEW")
-    )
-    return classified, existing
+    valid, master = X.loads(spark, sf_dir)
+    existing = valid.where("source_row_no % 3 = 0").withColumn("load_action", F.lit("NEW"))
+    return C.classify(valid, master), existing
 
 
 @registered
 def classify_sticky(spark, sf_dir):
-    return plain(C.sticky_classifications(*_sticky(spark, sf_dir), ["run_id", "source_row_no", "series_id"]))
+    return plain(C.sticky_classifications(*_sticky(spark, sf_dir), _STICKY_KEY))
 
 
 @registered
 def classify_summary(spark, sf_dir):
     classified, existing = _sticky(spark, sf_dir)
-    inserted = C.first_classifications(classified, existing, ["run_id", "source_row_no", "series_id"])
+    inserted = C.first_classifications(classified, existing, _STICKY_KEY)
     return C.classification_summary(existing.unionByName(inserted), inserted)
 
 
 @registered
 def upsert_candidates(spark, sf_dir):
-    return plain(C.upsert_candidates(_classified(spark, sf_dir), "r0"))
+    return plain(C.upsert_candidates(C.classify(*X.loads(spark, sf_dir)), "r0"))
 
 
-def _upserted(spark, sf_dir):
-    candidates = C.upsert_candidates(_classified(spark, sf_dir))
-    return U.upsert(X.mst(spark, sf_dir), candidates, X.at(X.NOW))
+def _upsert(spark, sf_dir):
+    """Valid rows, their classification, the master before and after the upsert."""
+    valid, master = X.loads(spark, sf_dir)
+    classified = C.classify(valid, master)
+    after = U.upsert(master, C.upsert_candidates(classified), X.at(X.NOW))
+    return valid, classified, master, after
 
 
 @registered
 def upsert_master(spark, sf_dir):
-    return plain(_upserted(spark, sf_dir).select("source", "rate_date", "series_id", "rate"))
+    after = _upsert(spark, sf_dir)[3]
+    return plain(after.select("source", "rate_date", "series_id", "rate"))
 
 
 @registered
 def upsert_lineage(spark, sf_dir):
-    return plain(_upserted(spark, sf_dir))
+    return plain(_upsert(spark, sf_dir)[3])
 
 
 @registered
 def upsert_changes(spark, sf_dir):
     """Only the rows an upsert of four ordered runs writes."""
-    valid = C.valid_by_flag(X.flags_multi(spark, sf_dir))
-    master = X.mst(spark, sf_dir)
-    candidates = C.upsert_candidates(C.classify_in_order(valid, master, "run_id"))
-    return plain(U.master_changes(master, U.last_candidates(candidates, "run_id"), X.at(X.NOW)))
+    classified, master = _ordered_runs(spark, sf_dir)
+    candidates = U.last_candidates(C.upsert_candidates(classified), "run_id")
+    return plain(U.master_changes(master, candidates, X.at(X.NOW)))
 
 
 @registered
 def upsert_overlay(spark, sf_dir):
     """Snapshot plus change log give the same master as the join-based upsert."""
-    master = X.mst(spark, sf_dir)
-    candidates = C.upsert_candidates(_classified(spark, sf_dir))
+    valid, master = X.loads(spark, sf_dir)
+    candidates = C.upsert_candidates(C.classify(valid, master))
     log = U.master_changes(master, candidates, X.at(X.NOW)).withColumn("seq", F.lit(1))
     return plain(U.overlay(master, U.latest_changes(log, "seq")))
 
 
 @registered
 def upsert_summary(spark, sf_dir):
-    classified = _classified(spark, sf_dir)
-    changes = U.master_changes(X.mst(spark, sf_dir), C.upsert_candidates(classified), X.at(X.NOW))
+    valid, master = X.loads(spark, sf_dir)
+    classified = C.classify(valid, master)
+    changes = U.master_changes(master, C.upsert_candidates(classified), X.at(X.NOW))
     return U.upsert_summary(classified, changes)
 
 
 @registered
 def upsert_verify(spark, sf_dir):
-    candidates = C.upsert_candidates(_classified(spark, sf_dir))
-    return U.verify_against_master(candidates, _upserted(spark, sf_dir))
+    _, classified, _, after = _upsert(spark, sf_dir)
+    return U.verify_against_master(C.upsert_candidates(classified), after)
 
 
 @registered
 def upsert_mismatches(spark, sf_dir):
     """Candidates that the master before the upsert lacks or holds differently."""
-    candidates = C.upsert_candidates(_classified(spark, sf_dir)).drop("load_action")
-    return plain(U.mismatches(candidates, X.mst(spark, sf_dir)))
+    valid, master = X.loads(spark, sf_dir)
+    candidates = C.upsert_candidates(C.classify(valid, master)).drop("load_action")
+    return plain(U.mismatches(candidates, master))
 
 
 @registered
 def reclassify_after_upsert(spark, sf_dir):
-    again = C.classify(X.valid(spark, sf_dir), _upserted(spark, sf_dir))
+    valid, _, _, after = _upsert(spark, sf_dir)
+    again = C.classify(valid, after)
     return again.groupBy("run_id").agg(F.count("*").alias("accepted_count"), *C.action_counts())
 
 
 @registered
 def changed_roundtrip(spark, sf_dir):
     """The first master row, changed by 0.01: CHANGED, and after its upsert UNCHANGED."""
-    original = S.preview(X.mst(spark, sf_dir), ["rate_date", "series_id"], 1)
+    original = S.preview(X.loads(spark, sf_dir)[1], ["rate_date", "series_id"], 1)
     incoming = original.select(
         F.lit("t1").alias("run_id"),
         "source",
@@ -442,35 +449,37 @@ def changed_roundtrip(spark, sf_dir):
 # Reconciliation -------------------------------------------------------------
 
 
-def _run_tables(spark, sf_dir):
-    staging = X.stg_multi(spark, sf_dir)
-    flags = Q.flag_rows(staging)
-    exceptions = _exceptions(flags)
-    validated = C.classify(C.valid_by_flag(flags), X.mst(spark, sf_dir))
-    return staging, exceptions, validated
+_RECORD = ("source_row_no", "series_id")
 
 
-_RECORD = ("source_row_no", "series_id")
+def _run_tables(spark, sf_dir):
+    """Staging, exceptions and classified rows of four runs, and the master."""
+    flags, master = X.multi_flags(spark, sf_dir)
+    staging = X.stg_multi(spark, sf_dir)
+    return staging, _exceptions(flags), C.classify(C.valid_by_flag(flags), master), master
 
 
 def _counts(spark, sf_dir):
-    return R.run_counts(*_run_tables(spark, sf_dir), F.struct(*_RECORD))
+    *tables, _ = _run_tables(spark, sf_dir)
+    return R.run_counts(*tables, F.struct(*_RECORD))
 
 
 @registered
 def reconcile_counts(spark, sf_dir):
-    return V.reconcile_counts(_counts(spark, sf_dir), X.mst(spark, sf_dir))
+    *tables, master = _run_tables(spark, sf_dir)
+    return V.reconcile_counts(R.run_counts(*tables, F.struct(*_RECORD)), master)
 
 
 @registered
 def verify_master(spark, sf_dir):
-    return U.verify_against_master(X.valid(spark, sf_dir), X.mst(spark, sf_dir))
+    return U.verify_against_master(*X.loads(spark, sf_dir))
 
 
 @registered
 def verify_run(spark, sf_dir):
     """Closed runs checked for duplicate keys; some rows are doubled on purpose."""
-    staging, exceptions, validated = _run_tables(spark, sf_dir)
+    staging, exceptions, classified, master = _run_tables(spark, sf_dir)
+    validated = cut_lineage(classified)
     counts = R.run_counts(staging, exceptions, validated, F.struct(*_RECORD))
     registry = X.run_registry(spark, sf_dir)
     closed = R.finalize(registry, counts, registry.select("run_id"), X.at(X.NOW))
@@ -478,7 +487,6 @@ def verify_run(spark, sf_dir):
     def doubled(df: DataFrame, every: int) -> DataFrame:
         return df.unionByName(df.where(F.col("source_row_no") % every == 0))
 
-    master = X.mst(spark, sf_dir)
     return V.verify_runs(
         closed,
         doubled(staging, 50),
@@ -643,7 +651,7 @@ def drill_classify(spark, sf_dir):
 @registered
 def delete_by_source(spark, sf_dir):
     key = ["source", "rate_date", "series_id", "rate"]
-    both = X.mst(spark, sf_dir).select(*key).unionByName(_drill(spark, sf_dir)[1].select(*key))
+    both = X.loads(spark, sf_dir)[1].select(*key).unionByName(_drill(spark, sf_dir)[1].select(*key))
     return plain(B.delete_source(both, D.SOURCE))
 
 
@@ -698,11 +706,10 @@ def _bad_load(spark, sf_dir, with_new: bool):
 
     The bad run changes every tenth row; with_new lets it also add rows.
     """
-    base = X.valid(spark, sf_dir)
+    base, master = X.loads(spark, sf_dir)
     tenth = F.col("source_row_no") % 10
     known = base.where(tenth != 0)
-    empty = X.mst(spark, sf_dir).where(F.lit(False))
-    loaded = U.upsert(empty, known, X.at(X.LOADED))
+    loaded = U.upsert(master.where(F.lit(False)), known, X.at(X.LOADED))
     bad = (base if with_new else known).withColumns(
         {
             "run_id": F.lit(_BAD),
@@ -711,7 +718,7 @@ def _bad_load(spark, sf_dir, with_new: bool):
             .cast("decimal(20,8)"),
         }
     )
-    master = U.upsert(loaded, bad, X.at(X.LOADED))
+    master = cut_lineage(U.upsert(loaded, bad, X.at(X.LOADED)))
     return master, known.unionByName(bad)
 
 
