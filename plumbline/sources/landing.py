@@ -8,6 +8,8 @@ one Spark job.  The binary scan itself bounds a row to a 2 GB file.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -240,13 +242,15 @@ def arity_check(rows: DataFrame) -> DataFrame:
     )
 
 
-def structural_exceptions(parsed: DataFrame, rows: DataFrame) -> DataFrame:
+def structural_exceptions(
+    parsed: DataFrame, rows: DataFrame, carry: Sequence[str] = ("path",)
+) -> DataFrame:
     """Rejected files and rows, outside the law staged = valid + invalid."""
     files = (
         with_header_status(parsed)
         .where(F.col("header_status") != HEADER_OK)
         .select(
-            "path",
+            *carry,
             F.lit(None).cast("bigint").alias("source_row_no"),
             F.col("header_status").alias("error_code"),
             F.lit("File rejected").alias("error_detail"),
@@ -254,7 +258,7 @@ def structural_exceptions(parsed: DataFrame, rows: DataFrame) -> DataFrame:
     )
     return files.unionByName(
         rows.where(~F.col("arity_ok")).select(
-            "path",
+            *carry,
             "source_row_no",
             F.lit("WRONG_FIELD_COUNT").alias("error_code"),
             arity_message().alias("error_detail"),
