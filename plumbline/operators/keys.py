@@ -12,9 +12,8 @@ from .lookup import HOT_KEYS, HOT_ROWS, all_present, bounded_answers, heaviest,
 
 def repeated_keys(df: DataFrame, keys: Sequence[str], count: str = "row_count") -> DataFrame:
     """Complete keys held by more than one row, with their row counts."""
-    return (
-        df.where(all_present(keys)).groupBy(*keys).agg(F.count("*").alias(count)).where(F.col(count) > 1)
-    )
+    counts = df.where(all_present(keys)).groupBy(*keys).agg(F.count("*").alias(count))
+    return counts.where(F.col(count) > 1)
 
 
 def key_multiplicity(

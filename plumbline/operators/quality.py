@@ -19,6 +19,7 @@ from plumbline.functions.casting import (
     parse_date,
     parse_decimal,
 )
+from plumbline.functions.once import computed
 
 from .keys import key_multiplicity
 
@@ -75,12 +76,11 @@ def typed_rows(staging: DataFrame, feed: Feed = DAILY_RATES) -> DataFrame:
             "clean_rate": clean_text(feed.raw_value),
         }
     )
-    return cleaned.withColumns(
-        {
-            "date_format_ok": has_format("clean_date", feed.date_pattern),
-            "parsed_date": parse_date("clean_date", feed.date_format, feed.date_pattern),
-            "parsed_rate": parse_decimal("clean_rate", feed.precision, feed.scale),
-        }
+    return computed(
+        cleaned,
+        date_format_ok=has_format("clean_date", feed.date_pattern),
+        parsed_date=parse_date("clean_date", feed.date_format, feed.date_pattern),
+        parsed_rate=parse_decimal("clean_rate", feed.precision, feed.scale),
     )
 
 

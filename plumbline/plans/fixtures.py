@@ -106,12 +106,18 @@ def loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def multi_flags(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Flagged rows of the four runs, computed once and written, and the master.
+    """Flagged rows of the four runs, computed once and written, and a master.
 
-    The master comes from the rows as one run, where duplicates span the four.
+    The master comes from the last run's valid row of each key.
     """
     flagged = cut_lineage(flags_multi(spark, sf_dir))
-    return flagged, loads(spark, sf_dir)[1]
+    last = (
+        valid_by_flag(flagged)
+        .groupBy("source", "rate_date", "series_id")
+        .agg(F.max_by(F.struct("source_row_no", "rate"), "run_id").alias("v"))
+        .select("source", "rate_date", "series_id", "v.*")
+    )
+    return flagged, master_of(last)
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,10 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.once import computed
 from plumbline.functions.text import (
     BOM,
     PLAIN_LINE_BREAK,
-    computed,
     csv_fields,
     csv_records,
     decode_utf8,

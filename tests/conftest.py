@@ -12,7 +12,9 @@ from plumbline.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("plumbline-tests", cores=4, partitions=4)
+    session = local_session("plumbline-tests", cores=4, partitions=3)
     session.sparkContext.setLogLevel("ERROR")
+    # Tiny inputs: compiling each plan would take most of the time.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
     yield session
     session.stop()
