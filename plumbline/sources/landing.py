@@ -79,6 +79,30 @@ def check_text_source(
     )
 
 
+def check_text_lines(
+    spark: SparkSession, path: str, heading: str = FILE_HEADING, min_lines: int = 2000
+) -> DataFrame:
+    """The same verdict from a line scan, for files too large to be one row.
+
+    Blocks of a file are read by different tasks; counts and the first line of
+    the first block combine map-side, so one huge file is no hot spot.
+    """
+    position = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return (
+        spark.read.text(path)
+        .select("value", F.col("_metadata.file_path").alias("path"), position.alias("position"))
+        .groupBy("path")
+        .agg(F.count("*").alias("line_count"), F.min_by("value", "position").alias("value"))
+        .select("path", "line_count", strip_space(strip_bom(F.col("value"))).alias("first_line"))
+        .withColumns(
+            {
+                "heading_ok": F.col("first_line") == heading,
+                "line_count_ok": F.col("line_count") > min_lines,
+            }
+        )
+    )
+
+
 def check_signature(
     files: DataFrame,
     prefix: str = SIGNATURE_PREFIX,

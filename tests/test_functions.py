@@ -88,6 +88,10 @@ def test_landed_files(spark, tmp_path):
     assert checks == {"a.csv": (True, True), "b.csv": (False, False)}
     verdicts = {r.path: (r.heading_ok, r.line_count) for r in landing.check_text_source(files).collect()}
     assert verdicts == {"a.csv": (True, 6), "b.csv": (False, 2)}
+    scanned = landing.check_text_lines(spark, str(tmp_path / "*.csv"), min_lines=5).collect()
+    assert {r.path.rsplit("/", 1)[1]: (r.heading_ok, r.line_count, r.line_count_ok) for r in scanned} == {
+        "a.csv": (True, 6, True), "b.csv": (False, 2, False),
+    }
     counts = landing.match_counts(files, F.lit("all")).collect()
     assert [(r.file_count, r.matches) for r in counts] == [(2, False)]
 
@@ -120,3 +124,14 @@ def test_json_batches(spark):
         assert "badly typed batch element" in str(e)
     else:
         raise AssertionError("strict decoding accepted a bad element")
+
+
+def test_line_scan_counts_a_file_that_spans_many_blocks(spark, tmp_path):
+    (tmp_path / "big.csv").write_text("F11.1  EXCHANGE RATES\n" + "row\n" * 50_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5
+        verdict = landing.check_text_lines(spark, str(tmp_path)).first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert (verdict.line_count, verdict.heading_ok, verdict.line_count_ok) == (50_001, True, True)
