@@ -19,7 +19,7 @@ def land(folder, name, body, head=HEAD):
 
 
 def make(spark, tmp_path, origin="feed://a"):
-    return ControlledLoad(spark, StateStore(spark, str(tmp_path / "state")), origin, "RBA")
+    return ControlledLoad(spark, StateStore(spark, str(tmp_path / "state")), origin, "FX")
 
 
 def counts(load):
