@@ -26,11 +26,15 @@ def has_format(c: Column | str, pattern: str) -> Column:
     return F.coalesce(_column(c).rlike(pattern), F.lit(False))
 
 
+def in_calendar(day: Column) -> Column:
+    """The day, or NULL where its year is 0."""
+    return F.when(F.year(day) >= 1, day)
+
+
 def parse_date(c: Column | str, fmt: str = DATE_FORMAT, pattern: str = DATE_PATTERN) -> Column:
     """Calendar date, or NULL.  Text must match `pattern`; year 0 is no date."""
     text = _column(c)
-    day = F.try_to_date(F.when(has_format(text, pattern), text), fmt)
-    return F.when(F.year(day) >= 1, day)
+    return in_calendar(F.try_to_date(F.when(has_format(text, pattern), text), fmt))
 
 
 def is_non_finite(c: Column | str) -> Column:

@@ -63,13 +63,16 @@ def split_lines(text: Column, pattern: str = LINE_BREAK) -> Column:
 
 def csv_records(text: Column) -> Column:
     """Records of a CSV text whose lines end in \\n; a quoted field may span lines."""
-    return F.regexp_extract_all(F.concat(F.lit("\n"), text), F.lit(_NEXT_RECORD), F.lit(1))
+    tokens = F.regexp_extract_all(F.concat(F.lit("\n"), text), F.lit(_NEXT_RECORD), F.lit(1))
+    return F.when(F.contains(text, F.lit('"')), tokens).otherwise(F.split(text, "\n"))
 
 
 def csv_fields(record: Column) -> Column:
     """Unquoted fields of one CSV record."""
-    raw = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_NEXT_FIELD), F.lit(1))
-    return F.transform(raw, _unquote)
+    tokens = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_NEXT_FIELD), F.lit(1))
+    return F.when(
+        F.contains(record, F.lit('"')), F.transform(tokens, _unquote)
+    ).otherwise(F.split(record, ","))
 
 
 def _unquote(field: Column) -> Column:

@@ -15,8 +15,8 @@ from plumbline.functions.casting import (
     SERIES_PATTERN,
     clean_text,
     has_format,
+    in_calendar,
     is_non_finite,
-    parse_date,
     parse_decimal,
 )
 from plumbline.functions.once import computed
@@ -75,13 +75,14 @@ def typed_rows(staging: DataFrame, feed: Feed = DAILY_RATES) -> DataFrame:
             "clean_series": clean_text(feed.raw_series),
             "clean_rate": clean_text(feed.raw_value),
         }
-    )
-    return computed(
+    ).withColumn("date_format_ok", has_format("clean_date", feed.date_pattern))
+    well_formed = F.when(F.col("date_format_ok"), F.col("clean_date"))
+    parsed = computed(
         cleaned,
-        date_format_ok=has_format("clean_date", feed.date_pattern),
-        parsed_date=parse_date("clean_date", feed.date_format, feed.date_pattern),
+        _day=F.try_to_date(well_formed, feed.date_format),
         parsed_rate=parse_decimal("clean_rate", feed.precision, feed.scale),
     )
+    return parsed.withColumn("parsed_date", in_calendar(F.col("_day"))).drop("_day")
 
 
 def feed_rules(feed: Feed = DAILY_RATES) -> list[Rule]:
