@@ -138,8 +138,8 @@ def arity_check(spark, sf_dir):
 
 @registered
 def structural_exceptions(spark, sf_dir):
-    parsed = _parsed(spark, sf_dir)
-    return landing.structural_exceptions(parsed, landing.csv_rows(parsed))
+    rows = landing.csv_rows(_parsed(spark, sf_dir), keep_rejected=True)
+    return landing.structural_exceptions(rows)
 
 
 @registered

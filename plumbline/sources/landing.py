@@ -210,41 +210,48 @@ def header_check(parsed: DataFrame, first_header: str = FIRST_HEADER) -> DataFra
     )
 
 
-def csv_rows(parsed: DataFrame, first_header: str = FIRST_HEADER, strict: bool = False) -> DataFrame:
+def csv_rows(
+    parsed: DataFrame,
+    first_header: str = FIRST_HEADER,
+    strict: bool = False,
+    keep_rejected: bool = False,
+) -> DataFrame:
     """Data rows of files with a sound header, numbered from 1 within the file.
 
-    `arity_ok` tells whether a row has as many fields as headers.  Strict mode
-    raises at the first unsound header or row instead of carrying the verdict.
+    `arity_ok` tells whether a row has as many fields as headers.  A file with an
+    unsound header gives no row, or with `keep_rejected` one row without values
+    next to its `header_status`.
+    Strict mode raises at the first unsound header or row instead.
     """
     others = [
         c for c in parsed.columns
         if c not in ("content", "csv_text", "headers", "records", "header_line")
     ]
     checked = with_header_status(parsed, first_header)
+    sound = F.col("header_status") == HEADER_OK
     if strict:
-        checked = checked.withColumn(
-            "records",
-            F.when(F.col("header_status") == HEADER_OK, F.col("records")).otherwise(
-                F.raise_error(F.concat(F.col("path"), F.lit(": "), F.col("header_status")))
-            ),
-        )
+        unsound = F.raise_error(F.concat(F.col("path"), F.lit(": "), F.col("header_status")))
+        checked = checked.withColumn("records", F.when(sound, F.col("records")).otherwise(unsound))
+    elif keep_rejected:
+        others.append("header_status")
+        checked = checked.withColumn("records", F.when(sound, F.col("records")))
     else:
-        checked = checked.where(F.col("header_status") == HEADER_OK)
-    rows = checked.select(
-        *others, "headers", F.posexplode("records").alias("_pos", "values")
-    ).select(
-        *others,
-        (F.col("_pos") + 1).cast("bigint").alias("source_row_no"),
-        "headers",
-        "values",
-        (F.size("values") == F.size("headers")).alias("arity_ok"),
-    )
+        checked = checked.where(sound)
+    numbered = F.posexplode_outer("records") if keep_rejected else F.posexplode("records")
+    arity_ok = F.size("values") == F.size("headers")
     if strict:
-        rows = rows.withColumn(
-            "arity_ok",
-            F.when(F.col("arity_ok"), F.lit(True)).otherwise(F.raise_error(arity_message())),
+        arity_ok = F.when(arity_ok, F.lit(True)).otherwise(F.raise_error(arity_message()))
+    return (
+        checked.select(*others, "headers", numbered.alias("_pos", "values"))
+        .withColumn("source_row_no", (F.col("_pos") + 1).cast("bigint"))
+        .select(
+            *others,
+            "source_row_no",
+            "headers",
+            "values",
+            F.when(F.col("values").isNotNull(), arity_ok).alias("arity_ok"),
         )
-    return rows
+    )
 
 
 def arity_message() -> Column:
@@ -266,25 +273,15 @@ def arity_check(rows: DataFrame) -> DataFrame:
     )
 
 
-def structural_exceptions(
-    parsed: DataFrame, rows: DataFrame, carry: Sequence[str] = ("path",)
-) -> DataFrame:
-    """Rejected files and rows, outside the law staged = valid + invalid."""
-    files = (
-        with_header_status(parsed)
-        .where(F.col("header_status") != HEADER_OK)
-        .select(
-            *carry,
-            F.lit(None).cast("bigint").alias("source_row_no"),
-            F.col("header_status").alias("error_code"),
-            F.lit("File rejected").alias("error_detail"),
-        )
-    )
-    return files.unionByName(
-        rows.where(~F.col("arity_ok")).select(
-            *carry,
-            "source_row_no",
-            F.lit("WRONG_FIELD_COUNT").alias("error_code"),
-            arity_message().alias("error_detail"),
-        )
+def structural_exceptions(rows: DataFrame, carry: Sequence[str] = ("path",)) -> DataFrame:
+    """Rejected files and rows, outside the law staged = valid + invalid.
+
+    `rows` keeps rejected files, see `csv_rows`.
+    """
+    of_file = F.col("header_status") != HEADER_OK
+    return rows.where(of_file | ~F.col("arity_ok")).select(
+        *carry,
+        "source_row_no",
+        F.when(of_file, F.col("header_status")).otherwise("WRONG_FIELD_COUNT").alias("error_code"),
+        F.when(of_file, "File rejected").otherwise(arity_message()).alias("error_detail"),
     )
