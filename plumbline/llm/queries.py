@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import table
+from plumbline.llm.decontamination import contaminated
 from plumbline.llm.exact_dedup import exact_groups
+from plumbline.llm.ngram_join import near_groups
 from plumbline.llm.packing import pack_documents
 from plumbline.llm.token_counts import token_counts
+from plumbline.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +25,12 @@ def registered(fn: Query) -> Query:
     return fn
 
 
+@registered
+def op3_ngram_jaccard_join(spark, sf_dir):
+    """The group of documents linked by equal 4-word shingles, at 0.85 or more."""
+    return near_groups(table(spark, sf_dir, "documents"), size=4, share=85)
+
+
 @registered
 def op4_best_fit_packing(spark, sf_dir):
     """Every document in sequences of at most 1024 tokens."""
@@ -30,6 +39,12 @@ def op4_best_fit_packing(spark, sf_dir):
     )
 
 
+@registered
+def op6_benchmark_decontamination(spark, sf_dir):
+    """Documents that hold a test item, with the items."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @registered
 def op7_token_counts(spark, sf_dir):
     """Tokens of every document."""
@@ -42,6 +57,12 @@ def op9_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op10_toxicity(spark, sf_dir):
+    """Every document's toxicity, learned from labels outside the held-out rows."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 ORACLE["op9_exact_dedup"] = r"""
     SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
            doc_id = min(doc_id) OVER g AS kept, sha256(body) AS text_sha256
