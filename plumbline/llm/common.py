@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.session import shared_folder
+from plumbline.session import shared_folder  # noqa: F401  used here and by others
 
 #: White space between words: fixed by the contracts of the queries.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -80,4 +80,5 @@ _ARROW = {
     "array<string>": pa.list_(pa.string()),
     "array<bigint>": pa.list_(pa.int64()),
     "array<int>": pa.list_(pa.int32()),
+    "array<binary>": pa.list_(pa.binary()),
 }

@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.llm.chat_rotation import rotated
 from plumbline.llm.common import table
 from plumbline.llm.decontamination import contaminated
 from plumbline.llm.exact_dedup import exact_groups
+from plumbline.llm.lm_scoring import lm_scores
 from plumbline.llm.ngram_join import near_groups
 from plumbline.llm.packing import pack_documents
 from plumbline.llm.token_counts import token_counts
 from plumbline.llm.toxicity import toxicity
+from plumbline.llm.url_trust import judged
+from plumbline.llm.warc import read_archive, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +29,32 @@ def registered(fn: Query) -> Query:
     return fn
 
 
+@registered
+def op1_lm_scoring(spark, sf_dir):
+    """log10 probability of every document by context mixing, and by counts of words."""
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op2_warc_dictionary_writer(spark, sf_dir):
+    """Every page archived, then read back from the archives."""
+    folder, manifest = write_archive(table(spark, sf_dir, "pages"))
+    return read_archive(spark, folder, manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+ORACLE["op2_warc_dictionary_writer"] = """
+    SELECT page_id, payload_bytes, sha1(body) AS payload_digest,
+           CASE WHEN refers THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN refers THEN last END AS refers_to
+    FROM (SELECT *, payload_bytes >= 1000 AND page_id <> last AS refers
+          FROM (SELECT page_id, body, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
+                       max(page_id) OVER (PARTITION BY body) AS last
+                FROM (SELECT page_id, coalesce(html, '') AS body FROM pages)))
+"""
+
+
 @registered
 def op3_ngram_jaccard_join(spark, sf_dir):
     """The group of documents linked by equal 4-word shingles, at 0.85 or more."""
@@ -39,6 +69,37 @@ def op4_best_fit_packing(spark, sf_dir):
     )
 
 
+@registered
+def op5_perspective_rotation(spark, sf_dir):
+    """Every conversation from each participant's side; spans as text."""
+    spans = F.transform("spans", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
+    return rotated(table(spark, sf_dir, "conversations")).withColumn("spans", F.array_join(spans, ","))
+
+
+ORACLE["op5_perspective_rotation"] = """
+    WITH t AS (
+        SELECT conv_id, role, floor(nth / 64)::BIGINT AS chunk, nth, body
+        FROM (SELECT conv_id, coalesce(replace(role, '<|im_', '<| im_'), 'unknown') AS role,
+                     coalesce(replace(text, '<|im_', '<| im_'), '') AS body,
+                     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) - 1 AS nth
+              FROM conversations)),
+    s AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'),
+    x AS (
+        SELECT conv_id, perspective, chunk, nth, role = perspective AS own,
+               '<|im_start|>' || CASE WHEN role = perspective THEN 'assistant' WHEN role = 'system' THEN 'system'
+                                      ELSE 'user name=' || role END || chr(10) AS head,
+               body || '<|im_end|>' || chr(10) AS body
+        FROM t JOIN s USING (conv_id)),
+    y AS (
+        SELECT *, CAST(sum(length(head) + length(body)) OVER w AS BIGINT) - length(body) AS start,
+               CAST(sum(length(head) + length(body)) OVER w AS BIGINT) - 1 AS stop
+        FROM x WINDOW w AS (PARTITION BY conv_id, perspective, chunk ORDER BY nth))
+    SELECT conv_id, perspective, chunk, count(*) AS n_turns, string_agg(head || body, '' ORDER BY nth) AS rendered,
+           coalesce(string_agg(start || '-' || stop, ',' ORDER BY nth) FILTER (own), '') AS spans
+    FROM y GROUP BY conv_id, perspective, chunk
+"""
+
+
 @registered
 def op6_benchmark_decontamination(spark, sf_dir):
     """Documents that hold a test item, with the items."""
@@ -51,6 +112,22 @@ def op7_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+#: Fixed by the contract of the query.
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
+@registered
+def op8_url_trust(spark, sf_dir):
+    """The verdict on every page's url."""
+    return judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @registered
 def op9_exact_dedup(spark, sf_dir):
     """The group of equal texts of every document."""
