@@ -39,6 +39,21 @@ def row_key() -> Column:
     return F.monotonically_increasing_id()
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that `df` doesn't have, whatever the case of its names."""
+    taken = {x.lower() for x in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of `docs` whose doc_id isn't in the one column of `gone`, all columns; rows without id stay."""
+    name = unused(docs, "gone")
+    ids = gone.toDF(name).where(F.col(name).isNotNull()).distinct()
+    return docs.join(ids, docs["doc_id"].cast("bigint") == ids[name], "left_anti")
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each slice holds about `most` bytes of the text column, or one row."""
     for batch in batches:

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import mapped, slices
+from plumbline.llm.common import mapped, slices, without
 from plumbline.llm.shingles import bytes_of
 
 K1, B = 1.2, 0.75
@@ -224,5 +224,4 @@ def contaminated(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that hold no test item, with all their columns; rows without id stay."""
-    gone = contaminated(docs, items, **options).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["_gone"], "left_anti")
+    return without(docs, contaminated(docs, items, **options).select("doc_id"))

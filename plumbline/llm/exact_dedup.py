@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import SPACE, mapped, row_key, stored
+from plumbline.llm.common import SPACE, mapped, row_key, stored, unused
 
 _ENTRY = "run bigint,digest binary,n_bytes bigint,second bigint,no_id boolean,keep_id bigint,keep_row bigint,size bigint"
 _ORDER = ("run", "digest", "n_bytes", "second")
@@ -120,19 +120,18 @@ def exact_groups(docs: DataFrame, rounds: int = 2, bits: int = 4) -> DataFrame:
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
     names = docs.columns
+    own, key, sha, stays, rows = (unused(docs, x) for x in ("own", "key", "sha", "stays", "rows"))
     verdict = stored(
         exact_groups(docs)
-        .groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-        .agg(F.max("kept").alias("_stays"), F.count("*").alias("_rows"))
-        .where(~F.col("_stays") | (F.col("_rows") > 1))
+        .groupBy(F.col("doc_id").alias(key), F.col("text_sha256").alias(sha))
+        .agg(F.max("kept").alias(stays), F.count("*").alias(rows))
+        .where(~F.col(stays) | (F.col(rows) > 1))
     )
-    tagged = docs.withColumn("_sha256", F.sha2(normalised(F.col("text")).cast("binary"), 256))
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_sha256") == F.col("_sha"))
+    tagged = docs.withColumn(own, F.sha2(normalised(F.col("text")).cast("binary"), 256))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(key)) & (F.col(own) == F.col(sha))
     single = tagged.join(verdict, same, "left_anti").select(names)
     # Repeated rows with one id: one of them stays.
     repeated = (
-        tagged.join(verdict.where("_stays"), same, "left_semi")
-        .dropDuplicates(["doc_id", "_sha256"])
-        .select(names)
+        tagged.join(verdict.where(F.col(stays)), same, "left_semi").dropDuplicates(["doc_id", own]).select(names)
     )
     return single.unionByName(repeated)

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import mapped, row_key, slices, stored
+from plumbline.llm.common import mapped, row_key, slices, stored, without
 from plumbline.llm.components import components
 from plumbline.llm.shingles import bytes_of, mix, shingle_sets
 
@@ -327,5 +327,4 @@ def near_groups(docs: DataFrame, size: int = 5, share: int = 80) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, share: int = 80) -> DataFrame:
     """The rows of `docs` that stay, all columns: of each group the document with the smallest id; rows without id."""
-    gone = near_groups(docs, size, share).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["_gone"], "left_anti")
+    return without(docs, near_groups(docs, size, share).where("doc_id <> component_id").select("doc_id"))

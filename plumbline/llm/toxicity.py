@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.common import mapped, remainder, slices, stored
+from plumbline.llm.common import mapped, remainder, slices, stored, unused
 
 #: Look-alikes and the letters meant.
 LOOKALIKES = {
@@ -304,4 +304,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of `docs` that score below the threshold, with all their columns."""
     model = fit(docs.where(~is_held_out(F.col("doc_id"))), labels)
-    return scored(docs, model, "_toxicity").where(F.col("_toxicity") < threshold).drop("_toxicity")
+    score = unused(docs, "score")
+    return scored(docs, model, score).where(F.col(score) < threshold).drop(score)
