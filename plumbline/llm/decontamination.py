@@ -7,9 +7,10 @@ all items.  Postings lie in blocks with their largest weight.  Passages are
 windows of twice the longest item, starting every longest item, so an item that
 occurs in a text lies whole in one of them.
 
-For all passages of a slice at once, the sum of the largest weights of their
-distinct words shows which of them can reach the threshold at all; this is WAND's
-first bound.  The others are searched with WAND: lists in the order of their next
+For all passages of a slice at once, the sums of the block maxima of their distinct
+words show which of them can reach the threshold in any block of items.  Words of
+very many items count in this first test by what they give any one item together,
+which is little.  The passages left are searched with WAND: lists in the order of their next
 item, a pivot where the bounds reach the threshold, then the bounds of the blocks
 there, and only then the weights.  Every item that a passage scores at or above
 the threshold for is retrieved, none is cut off by rank.
@@ -31,6 +32,8 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import reduce
@@ -45,6 +48,10 @@ from plumbline.llm.shingles import bytes_of
 
 K1, B = 1.2, 0.75
 BLOCK = 32
+#: What common words may give an item together, of the 1 that it can score.
+COMMON = 0.3
+#: Blocks of items in the first test at most: its table has so many columns.
+FIRST_BLOCKS = 256
 #: ASCII punctuation and white space part words; letters of other scripts don't.
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -87,10 +94,32 @@ class Index:
             own = sum(part.values())
             for x, weight in part.items():
                 postings[self.terms[x]].append((at, weight / own))
-        self.items = [np.array([a for a, _ in p], np.int32) for p in postings]
-        self.weights = [np.array([b for _, b in p], np.float32) for p in postings]
-        self.block_max = [np.maximum.reduceat(b, np.arange(0, len(b), BLOCK)) for b in self.weights]
-        self.bound = np.array([b.max() for b in self.weights] + [0.0], np.float64)  # last: words of no item
+        self.items = [array("i", (a for a, _ in p)) for p in postings]
+        self.weights = [array("d", (b for _, b in p)) for p in postings]
+        self.block_max = [array("d", (max(b[k : k + BLOCK]) for k in range(0, len(b), BLOCK))) for b in self.weights]
+        self.bound = np.array([max(b) for b in self.weights] + [0.0])  # last: words of no item
+        # The words of most items together give no item more than `common_most`: in the first
+        # test it stands for all of them.  Of other words the test knows the blocks' maxima.
+        self.rare, self.common_most = np.ones(len(postings) + 1, bool), 0.0
+        self.rare[-1] = False
+        of_item = np.zeros(len(kept))
+        for k in sorted(range(len(postings)), key=lambda k: -len(postings[k])):
+            for a, b in postings[k]:
+                of_item[a] += b
+            if of_item.max() > COMMON:
+                break
+            self.rare[k], self.common_most = False, float(of_item.max())
+        self.blocks = min(FIRST_BLOCKS, max(1, len(kept)))
+        block, most, cuts = [], [], [0]
+        for k, p in enumerate(postings):
+            top: dict[int, float] = {}
+            for a, b in p if self.rare[k] else ():
+                at = a * self.blocks // len(kept)
+                top[at] = max(top.get(at, 0.0), b)
+            block += top.keys()
+            most += top.values()
+            cuts.append(len(block))
+        self.block, self.most, self.cuts = np.array(block, np.int64), np.array(most), np.array(cuts)
         self.parts = [
             tuple(shingled(words(x), size) for x in question_and_answer(t)) for _, t, _ in kept
         ]
@@ -101,7 +130,7 @@ class Index:
         found = []
 
         def item(x) -> int:
-            return int(self.items[x[1]][x[0]])
+            return self.items[x[1]][x[0]]
 
         while lists:
             lists.sort(key=item)
@@ -117,13 +146,11 @@ class Index:
             while pivot + 1 < len(lists) and item(lists[pivot + 1]) == at:
                 pivot += 1
             for x in lists[: pivot + 1]:  # to the block that may hold the pivot's item
-                x[0] = int(np.searchsorted(self.items[x[1]], at))
+                x[0] = bisect_left(self.items[x[1]], at, x[0])
             live = [x for x in lists if x[0] < len(self.items[x[1]])]
-            blocks = sum(
-                float(self.block_max[t][p // BLOCK]) for p, t in (x for x in lists[: pivot + 1] if x[0] < len(self.items[x[1]]))
-            )
-            if blocks >= threshold:
-                score = sum(float(self.weights[t][p]) for p, t in live if self.items[t][p] == at)
+            first = [x for x in lists[: pivot + 1] if x[0] < len(self.items[x[1]])]
+            if sum(self.block_max[t][p // BLOCK] for p, t in first) >= threshold:
+                score = sum(self.weights[t][p] for p, t in first if self.items[t][p] == at)
                 if score >= threshold:
                     found.append((at, score))
             for x in live:
@@ -133,6 +160,13 @@ class Index:
         return found
 
 
+def spans(first: np.ndarray, size: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of some ranges its numbers, and its value as often."""
+    ends = np.cumsum(size)
+    number = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - size, size) + np.repeat(first, size)
+    return number, np.repeat(value, size)
+
+
 def hits(docs: DataFrame, index: Index, size: int, threshold: float, overlap: float) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -163,7 +197,7 @@ def hits(docs: DataFrame, index: Index, size: int, threshold: float, overlap: fl
             term = np.fromiter((get(x, other) for w in texts for x in w), np.int32, int(n.sum()))
             starts = np.cumsum(n) - n
             doc = np.repeat(np.arange(len(n)), n)
-            known = np.flatnonzero(term < other)
+            known = np.flatnonzero(ix.rare[term])
             # A word counts in a passage where it stands first: from the start after its last place on.
             order = known[np.lexsort((known, term[known], doc[known]))]
             last = np.full(len(term), -1, np.int64)
@@ -177,12 +211,12 @@ def hits(docs: DataFrame, index: Index, size: int, threshold: float, overlap: fl
             low = np.maximum(low, before // stride + 1)  # and that its last place isn't in
             high = np.minimum(place // stride, windows[doc[known]] - 1)
             ok = low <= high
-            diff = np.zeros(int(windows.sum()) + 1)
-            gain = ix.bound[term[known]]
-            np.add.at(diff, (at[doc[known]] + low)[ok], gain[ok])
-            ends = (at[doc[known]] + high + 1)[ok]
-            np.subtract.at(diff, ends, gain[ok])
-            may = np.flatnonzero(np.cumsum(diff)[:-1] >= floor)
+            at_passage, at_term = spans((at[doc[known]] + low)[ok], (high - low + 1)[ok], term[known][ok])
+            size_of = np.diff(ix.cuts)
+            entry, place = spans(ix.cuts[:-1][at_term], size_of[at_term], at_passage)
+            total = int(windows.sum())
+            sums = np.bincount(place * ix.blocks + ix.block[entry], ix.most[entry], total * ix.blocks)
+            may = np.flatnonzero(sums.reshape(total, ix.blocks).max(axis=1, initial=0.0) >= floor - ix.common_most)
             owner = np.searchsorted(at + windows, may, side="right")
             rows = []
             ids = batch.column("doc_id").to_pylist()
