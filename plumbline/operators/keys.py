@@ -76,6 +76,7 @@ def _with_membership(
     df: DataFrame, members: DataFrame, column: str, hot_rows: int, hot_keys: int
 ) -> DataFrame:
     hot = heavy_keys(df, [column], hot_rows, hot_keys)
+    members = dimension(members, column)  # a repeated member must not repeat rows
     return lookup(df, members, [column], bounded_answers(hot, members, [column]), "_member")
 
 

@@ -20,8 +20,9 @@ def all_present(keys: Sequence[str]) -> Column:
 
 
 def heaviest(counts: DataFrame, count: str, hot_rows: int, hot_keys: int) -> DataFrame:
-    """The heaviest of already counted keys, never more than `hot_keys` rows."""
-    return counts.where(F.col(count) >= hot_rows).orderBy(F.desc(count)).limit(hot_keys)
+    """The heaviest of already counted keys, never more than `hot_keys` rows; ties go by key."""
+    keys = [c for c in counts.columns if c != count]
+    return counts.where(F.col(count) >= hot_rows).orderBy(F.desc(count), *keys).limit(hot_keys)
 
 
 def heavy_keys(

@@ -72,6 +72,18 @@ def drill_master(series: DataFrame, run_id: Column, days: DrillDays = DrillDays(
     )
 
 
+def other_source(series: DataFrame, day: int = 295) -> DataFrame:
+    """Master rows of another source under the series that the supplier sends by mistake."""
+    return series.select(
+        F.lit("OTHER").alias("source"),
+        _date(F.lit(day)).alias("rate_date"),
+        _series_id("BAD", F.col("s")).alias("series_id"),
+        F.lit(1).cast("decimal(20,8)").alias("rate"),
+        F.lit("other").alias("first_loaded_run_id"),
+        F.lit("other").alias("last_changed_run_id"),
+    )
+
+
 def drill_source(
     series: DataFrame, run_id: Column, stride: Column, days: DrillDays = DrillDays()
 ) -> DataFrame:

@@ -83,14 +83,14 @@ def flags_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def master_of(valid_rows: DataFrame) -> DataFrame:
-    """Master that lacks every tenth row and holds another rate for the next."""
+    """Master that lacks every tenth row, holds another rate for the next and none for the one after."""
     tenth = F.col("source_row_no") % 10
     return valid_rows.where(tenth != 0).select(
         "source",
         "rate_date",
         "series_id",
         F.when(tenth == 1, F.col("rate") + F.expr("0.01BD"))
-        .otherwise(F.col("rate"))
+        .when(tenth != 2, F.col("rate"))
         .cast("decimal(20,8)")
         .alias("rate"),
         F.lit("m0").alias("first_loaded_run_id"),

@@ -175,8 +175,7 @@ def cardinality_check(spark, sf_dir):
 @registered
 def staging_rows(spark, sf_dir):
     long_rows = S.rows_to_long(_csv_rows(spark, sf_dir))
-    run_id = F.substr(F.sha2(F.col("path").cast("binary"), 256), F.lit(1), F.lit(12))
-    return S.to_staging(long_rows, run_id, F.lit("ORD"))
+    return S.to_staging(long_rows, R.run_id_of(F.lit("ORD"), F.col("path")), F.lit("ORD"))
 
 
 def _staging_load(spark, sf_dir):
@@ -432,8 +431,9 @@ def reclassify_after_upsert(spark, sf_dir):
 
 @registered
 def changed_roundtrip(spark, sf_dir):
-    """The first master row, changed by 0.01: CHANGED, and after its upsert UNCHANGED."""
-    original = S.preview(X.loads(spark, sf_dir)[1], ["rate_date", "series_id"], 1)
+    """The first master row with a rate, changed by 0.01: CHANGED, and after its upsert UNCHANGED."""
+    held = X.loads(spark, sf_dir)[1].where("rate is not null")
+    original = S.preview(held, ["rate_date", "series_id"], 1)
     incoming = original.select(
         F.lit("t1").alias("run_id"),
         "source",
@@ -517,11 +517,13 @@ def work_list(spark, sf_dir):
 
 @registered
 def register_or_resume(spark, sf_dir):
-    """Contents whose first document is odd are landed again; the others only stay known."""
-    contents = X.contents(spark, sf_dir).where("first_doc % 2 = 1").withColumn(
+    """All contents are landed again; the registry also knows runs of another source."""
+    contents = X.contents(spark, sf_dir).withColumn(
         "source_url", F.concat(F.lit("again/"), F.col("source_url"))
     )
-    registered_runs = R.register(contents, X.reg(spark, sf_dir), X.at(X.NOW), F.lit("x1"))
+    known = X.reg(spark, sf_dir)
+    old = known.withColumns({c: F.concat(F.lit("old-"), c) for c in ("source", "run_id")})
+    registered_runs = R.register(contents, known.unionByName(old), X.at(X.NOW), F.lit("x1"))
     resolved = R.resolve(contents, registered_runs).select(
         *R.REGISTRY_KEY, F.col("should_process")
     )
@@ -614,7 +616,10 @@ def _drill(spark, sf_dir):
 
 
 def _drill_rows(spark, sf_dir):
+    """Rows of the supplier's run and a master that holds a second source, stored as they lie ready in use."""
     registry, master, staging = _drill(spark, sf_dir)
+    master = cut_lineage(master.unionByName(D.other_source(X.drill_series(spark, sf_dir))))
+    registry, staging = cut_lineage(registry), cut_lineage(staging)
     which = (F.col("source") == D.SOURCE) & (F.col("source_fingerprint") == D.SUPPLIER_FINGERPRINT)
     return V.rows_of_runs(staging, registry, which), master
 
@@ -641,11 +646,7 @@ def drill_report(spark, sf_dir):
 
 @registered
 def drill_classify(spark, sf_dir):
-    rows, master = _drill_rows(spark, sf_dir)
-    single = K.non_duplicate_rows(rows, ["source", "raw_rate_date", "series_id"])
-    known = K.referential_members(single, K.dimension(master, "series_id"), "series_id")
-    clean = V.strict_types(known).select("source_row_no", "source", "rate_date", "series_id", "rate")
-    return plain(V.reconcile(clean, master))
+    return plain(V.reconciled_rows(*_drill_rows(spark, sf_dir)))
 
 
 @registered

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def local_session(app: str = "plumbline", cores: int | str = "*", partitions: int = 8) -> SparkSession:
     """Single-machine session for tests and benches; clusters bring their own."""
@@ -34,9 +38,30 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="plumbline-")
+    elif root.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        # A mounted share is possible, a machine's own temporary folder is not.
+        place = root.removeprefix("file:").replace("//", "/")
+        if place.startswith((tempfile.gettempdir() + "/", "/tmp/", "/var/tmp/")):
+            raise ValueError(f"spark.checkpoint.dir names {root}, which other machines cannot read")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: their Python workers import it.
+
+    Clusters that install it, or put it on PYTHONPATH, lose nothing by it.
+    """
+    if spark.sparkContext.applicationId in _SHIPPED:
+        return
+    here = Path(__file__).resolve().parent
+    out = Path(tempfile.mkdtemp(prefix="plumbline-")) / "plumbline.zip"
+    with zipfile.ZipFile(out, "w") as pack:
+        for source in sorted(here.rglob("*.py")):
+            pack.write(source, source.relative_to(here.parent))
+    spark.sparkContext.addPyFile(str(out))
+    _SHIPPED.add(spark.sparkContext.applicationId)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Compute a DataFrame once and keep it reliably, so later uses re-read it."""
     spark = df.sparkSession

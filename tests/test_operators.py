@@ -213,6 +213,28 @@ def test_report_edge_cases(spark):
         V.reconciliation_report(raw_rows(spark, ("x", "A", "1")), master).collect()
     doubled = V.reconciliation_report(raw_rows(spark, (day, "A", "1")), master.unionByName(master)).first()
     assert doubled.raw_reconciles and not doubled.clean_reconciles
+    assert (doubled.clean_supplier_rows, doubled.unchanged_rows) == (1, 2)
+    # The source is known to have sent one row more than arrived.
+    short = V.reconciliation_report(raw_rows(spark, (day, "A", "1")), master, expected=2).first()
+    assert short.supplier_rows == 2 and short.clean_reconciles and not short.raw_reconciles
+
+
+def test_series_of_another_source_are_unknown(spark):
+    day = "03-Jan-2023"
+    rows = raw_rows(spark, (day, "A", "1"), (day, "Z", "2"))
+    master = master_rows(spark, ("A", "1")).unionByName(master_rows(spark, ("Z", "2")).withColumn("source", F.lit("T")))
+    report = V.reconciliation_report(rows, master).first()
+    assert (report.invalid_key_rows, report.clean_supplier_rows, report.source_only_rows) == (1, 1, 0)
+    found = V.reconciled_rows(rows.withColumn("source_row_no", F.lit(1)), master).collect()
+    assert [(r.series_id, r.reconciliation_status) for r in found] == [("A", "UNCHANGED")]
+
+
+def test_repeated_members_do_not_repeat_rows(spark):
+    rows = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    members = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
+    for hot in ({}, {"hot_rows": 1, "hot_keys": 2}):
+        assert K.referential_members(rows, members, "k", **hot).count() == 2
+        assert K.referential_orphans(rows, members, "k", **hot).count() == 1
 
 
 def test_registry_and_monitoring(spark):
