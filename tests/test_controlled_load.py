@@ -5,7 +5,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.plans.controlled_load import MASTER, ControlledLoad
+from plumbline.plans.controlled_load import MASTER, ControlledLoad, LandingError
+from plumbline.sources import landing
 from plumbline.sources.store import StateStore
 from plumbline.streaming.landing_stream import load_new_files
 
@@ -35,21 +36,21 @@ def rates(load):
 
 
 def test_increments_skip_resume_and_rollback(spark, tmp_path):
-    load, landing = make(spark, tmp_path), tmp_path / "landing"
-    path = land(landing, "1.csv", "03-Jan-2023,0.6828,0.6397\n,,\n04-Jan-2023,,0.6411\n")
+    load, folder = make(spark, tmp_path), tmp_path / "landing"
+    path = land(folder, "1.csv", "03-Jan-2023,0.6828,0.6397\n,,\n04-Jan-2023,,0.6411\n")
     out = load.load(path).collect()
     assert [r.outcome for r in out] == ["PROCESSED"]
     assert counts(load) == {"1.csv": (4, 3, 1, 3, 0, 0)}
     assert [r.outcome for r in load.load(path).collect()] == ["SKIPPED"]
 
     # Two overlapping increments and a copy land together and load as if in order.
-    land(landing, "2.csv", "03-Jan-2023,0.6828,0.6397\n04-Jan-2023,0.7,0.6411\n")
-    land(landing, "3.csv", "03-Jan-2023,0.6828,0.64\n04-Jan-2023,0.7,0.6411\n05-Jan-2023,bad\n")
-    land(landing, "3b.csv", "03-Jan-2023,0.6828,0.64\n04-Jan-2023,0.7,0.6411\n05-Jan-2023,bad\n")
-    land(landing, "4.csv", "no header here\n", head="")
+    land(folder, "2.csv", "03-Jan-2023,0.6828,0.6397\n04-Jan-2023,0.7,0.6411\n")
+    land(folder, "3.csv", "03-Jan-2023,0.6828,0.64\n04-Jan-2023,0.7,0.6411\n05-Jan-2023,bad\n")
+    land(folder, "3b.csv", "03-Jan-2023,0.6828,0.64\n04-Jan-2023,0.7,0.6411\n05-Jan-2023,bad\n")
+    land(folder, "4.csv", "no header here\n", head="")
     done = {r.run_id: r for r in load.load(path).collect()}
     assert sorted((r.outcome, r.copies) for r in done.values()) == [
-        ("PROCESSED", 1), ("PROCESSED", 1), ("PROCESSED", 2), ("SKIPPED", 1),
+        ("PROCESSED", 1), ("PROCESSED", 2), ("REJECTED", 1), ("SKIPPED", 1),
     ]
     assert counts(load) == {
         "1.csv": (4, 3, 1, 3, 0, 0),
@@ -99,6 +100,55 @@ def test_crash_between_upsert_and_close_keeps_first_classification(spark, tmp_pa
     assert load.table("staging").count() == load.table("validated").count() == 2
 
 
+def test_gates(spark, tmp_path, monkeypatch):
+    body = "03-Jan-2023,0.6828,0.6397\n"
+    path = land(tmp_path / "landing", "1.csv", body)
+    load = make(spark, tmp_path)
+    load.files_expected, load.signature = 1, "F11.1"
+    assert [r.outcome for r in load.load(path).collect()] == ["PROCESSED"]
+    land(tmp_path / "landing", "2.csv", "04-Jan-2023,1,2\n")
+    with pytest.raises(LandingError, match="2 files"):
+        load.load(path)
+    load.files_expected = None
+    other = land(tmp_path / "other", "x.csv", body, head="Something else\nSeries ID,FXRUSD\n")
+    with pytest.raises(LandingError, match="begin"):
+        load.load(other)
+    with pytest.raises(LandingError, match="0 files"):
+        ControlledLoad(spark, load.store, "o", "FX", files_expected=1).load(path, glob="none*.csv")
+    assert load.registry().count() == 1
+
+    # An unsound header is a verdict of its own, and the file is not parsed again.
+    load.signature = None
+    bad = land(tmp_path / "bad", "b.csv", "no header\n", head="")
+    assert [r.outcome for r in load.load(bad).collect()] == ["REJECTED"]
+    monkeypatch.setattr(ControlledLoad, "_process", lambda *_: pytest.fail("parsed again"))
+    assert [r.outcome for r in load.load(bad).collect()] == ["REJECTED"]
+    monkeypatch.undo()
+    strict = ControlledLoad(spark, StateStore(spark, str(tmp_path / "strict")), "s", "FX", strict=True)
+    with pytest.raises(Exception, match="HEADER_NOT_FOUND"):
+        strict.load(bad)
+
+
+def test_a_file_that_changes_meanwhile_fails_its_run(spark, tmp_path, monkeypatch):
+    load = make(spark, tmp_path)
+    path = land(tmp_path / "landing", "1.csv", "03-Jan-2023,0.6828,0.6397\n")
+    process = ControlledLoad._process
+
+    def changed(self, files, work):
+        land(tmp_path / "landing", "1.csv", "03-Jan-2023,9.6828,0.6397\n")
+        process(self, self._files_again(path), work)
+
+    def again(self, path):
+        files = landing.with_fingerprint(landing.read_landing(self.spark, path))
+        return files.select("path", "content", F.lit(self.origin).alias("source"), "source_fingerprint", F.col("path").alias("source_url"))
+
+    monkeypatch.setattr(ControlledLoad, "_files_again", again, raising=False)
+    monkeypatch.setattr(ControlledLoad, "_process", changed)
+    with pytest.raises(Exception, match="changed while it was loaded"):
+        load.load(path)
+    assert load.master().isEmpty()
+
+
 def test_other_origin_gives_a_second_run_with_nothing_new(spark, tmp_path):
     path = land(tmp_path / "landing", "1.csv", "03-Jan-2023,0.6828,0.6397\n")
     make(spark, tmp_path).load(path)
@@ -109,14 +159,14 @@ def test_other_origin_gives_a_second_run_with_nothing_new(spark, tmp_path):
 
 
 def test_stream_loads_only_new_files(spark, tmp_path):
-    load, landing = make(spark, tmp_path), tmp_path / "landing"
-    path = land(landing, "1.csv", "03-Jan-2023,0.6828,0.6397\n")
+    load, folder = make(spark, tmp_path), tmp_path / "landing"
+    path = land(folder, "1.csv", "03-Jan-2023,0.6828,0.6397\n")
     for name, body in (("2.csv", "04-Jan-2023,0.69,0.64\n"), (None, None)):
         query = load_new_files(load, path, str(tmp_path / "checkpoint"))
         query.awaitTermination(120)
         assert query.exception() is None
         if name:
-            land(landing, name, body)
+            land(folder, name, body)
     assert len(rates(load)) == 4
     assert load.history().where("status = 'SUCCESS'").count() == 2
 
