@@ -207,6 +207,32 @@ def run_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_csv(spark: SparkSession, sf_dir: str, path: str, files: int = 8) -> None:
+    """Landed CSV files of any size below `path`: every order's row, by order, in one of `files` files.
+
+    Some fields are quoted, some hold a comma or a line break, some rows are blank
+    or lack a field.
+    """
+    k = F.col("o_orderkey")
+    day = F.date_format("o_orderdate", "dd-MMM-yyyy")
+    price = F.col("o_totalprice").cast("decimal(20,8)").cast("string")
+    row = choose(
+        k % 29,
+        {3: ",,", 4: F.concat(day, F.lit(",1")), 5: F.concat(day, F.lit(',"1,5","a""b"'))},
+        F.when(k % 29 == 6, F.concat(day, F.lit(',"12\n'), k.cast("string"), F.lit('\n",x'))).otherwise(
+            F.concat(day, F.lit(","), price, F.lit(","), F.col("o_custkey").cast("string"))
+        ),
+    )
+    orders = table(spark, sf_dir, "orders").select((k % files).alias("file"), k.alias("_k"), row.alias("value"))
+    first = spark.range(files).select(
+        F.col("id").alias("file"),
+        F.lit(-1).cast("bigint").alias("_k"),
+        F.lit('Title,"open\nSeries ID,FXRUSD, FXREUR').alias("value"),
+    )
+    lines = orders.unionByName(first).repartition("file").sortWithinPartitions("file", "_k")
+    lines.select("file", "value").write.partitionBy("file").text(path)
+
+
 def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One small landed CSV per order: metadata, own header, blank and odd rows."""
     k = F.col("o_orderkey")

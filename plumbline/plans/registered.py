@@ -23,7 +23,7 @@ from plumbline.operators import upsert as U
 from plumbline.plans import drill as D
 from plumbline.plans import fixtures as X
 from plumbline.session import cut_lineage, shared_folder
-from plumbline.sources import batches, landing, store
+from plumbline.sources import batches, blocks, landing, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -126,6 +126,20 @@ def parse_csv_rows(spark, sf_dir):
     )
 
 
+@registered
+def csv_block_rows(spark, sf_dir):
+    """Rows of landed files that are parsed by blocks, in as many tasks as they have blocks."""
+    path = shared_folder(spark, "landed")
+    X.landed_csv(spark, sf_dir, path)
+    return blocks.csv_block_rows(spark, path).select(
+        F.regexp_extract("path", "file=([0-9]+)/", 1).cast("bigint").alias("file"),
+        "source_row_no",
+        F.array_join("headers", "|").alias("headers"),
+        F.array_join("values", "|").alias("row_values"),
+        "arity_ok",
+    )
+
+
 @registered
 def header_check(spark, sf_dir):
     return landing.header_check(_parsed(spark, sf_dir))
