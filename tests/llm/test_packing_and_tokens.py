@@ -31,14 +31,26 @@ def random_texts(n, seed=1):
 @pytest.mark.parametrize("most", [400_000, 7])
 def test_units_give_the_ids_of_the_library(most):
     texts = ODD + random_texts(3000)
-    units = Units(NAME, packed, b"x", most=most)
-    for _ in range(2):
-        got = [np.frombuffer(b"".join(v), "<u4").tolist() for v in units.many(texts)]
-        assert got == library(texts)
+    for ranks in (None, "byte_bpe_50k.tiktoken"):
+        units = Units(NAME, packed, b"x", most=most, ranks=ranks)
+        for _ in range(2):
+            got = [np.frombuffer(b"".join(v), "<u4").tolist() for v in units.many(texts)]
+            assert got == library(texts)
     given = Units(NAME, lengths, -1, {"word": 1, "b": 1})
     assert [sum(v) for v in given.many(texts)] == [len(x) for x in library(texts)]
 
 
+def test_ids_of_the_rank_file_are_those_of_the_library():
+    """Every document of the smallest tables, as it is and with marks, digits and capitals put in."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()
+    texts += [t.replace("e", "E1'").replace(" t", "\t t").replace(". ", "..  ") for t in texts[:60]]
+    texts += [" ".join(t[i : i + 7] for i in range(0, len(t), 5)) for t in texts[:60]]
+    units = Units(NAME, packed, b"x", ranks="byte_bpe_50k.tiktoken")
+    assert [np.frombuffer(b"".join(v), "<u4").tolist() for v in units.many(texts)] == library(texts)
+
+
 def test_token_counts(spark):
     texts = ODD + random_texts(200)
     rows = [(i if i % 9 else None, t) for i, t in enumerate(texts)] + [(1, "again")]
