@@ -10,6 +10,10 @@ within length.  A rank is the piece's number in the task that made it plus the
 number of pieces of that length in earlier tasks, so no length is ever gathered
 or sorted in one place.
 
+Ids are those of the tokenizer `name`.  `ranks` may name the rank file of the same
+vocabulary: words of Latin characters that no cache holds are encoded by it, with the
+same ids.
+
 Only documents longer than `limit` are cut; their first piece takes the
 remainder.  A null text counts as empty: the closing id alone.  Ids may be null
 or repeated; every row is packed.  An empty table gives an empty table.  Columns
@@ -37,12 +41,12 @@ _PIECES = "doc_id bigint,piece int,start bigint,length bigint,ids binary,part bi
 _OPEN: dict[str, Units] = {}
 
 
-def pieces(docs: DataFrame, name: str, closing: int, limit: int) -> DataFrame:
+def pieces(docs: DataFrame, name: str, closing: int, limit: int, ranks: str | None) -> DataFrame:
     """Pieces of at most `limit` ids; `part` and `nth` number those of a length within a task."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         if name not in _OPEN:
-            _OPEN[name] = Units(name, packed, b"x")
+            _OPEN[name] = Units(name, packed, b"x", ranks=ranks)
         units, part = _OPEN[name], TaskContext.get().partitionId()
         nth: dict[int, int] = defaultdict(int)
         end = np.array([closing], "<u4").tobytes()
@@ -131,8 +135,12 @@ def pack(found: DataFrame, limit: int) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, name: str = "byte_bpe_50k.json", closing: int = 2, limit: int = 1024
+    docs: DataFrame,
+    name: str = "byte_bpe_50k.json",
+    closing: int = 2,
+    limit: int = 1024,
+    ranks: str | None = "byte_bpe_50k.tiktoken",
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids (little-endian unsigned 32-bit), ids_crc32, sequence_id, offset."""
-    found = stored(pieces(docs, name, closing, limit).withColumn("ids_crc32", F.crc32("ids")))
+    found = stored(pieces(docs, name, closing, limit, ranks).withColumn("ids_crc32", F.crc32("ids")))
     return pack(found, limit)

@@ -18,6 +18,8 @@ import numpy as np
 
 #: A single space between characters that aren't white space.
 CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Marks that often end a word; alone, each is a pre-token.
+MARKS = (".", ",")
 #: Longer units are encoded, not kept: they seldom return.
 LONGEST = 48
 
@@ -35,9 +37,20 @@ def tokenizer(name: str):
     return _LOADED[name]
 
 
-def whole(unit: str) -> bool:
-    """Whether both ends of a unit allow a cut there."""
-    return bool(unit) and not unit[0].isspace() and not unit[-1].isspace()
+def rank_encoder(name: str) -> Callable[[str], list[int]]:
+    """The encoder of a rank file of the public collection: the same ids as the tokenizer of its vocabulary, faster."""
+    if name not in _LOADED:
+        import base64
+
+        import public_tokenizers
+        import tiktoken
+
+        with open(public_tokenizers.path(name), "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        _LOADED[name] = tiktoken.Encoding(
+            name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        ).encode_ordinary
+    return _LOADED[name]
 
 
 def lengths(ids: np.ndarray, ends: np.ndarray) -> list[int]:
@@ -54,17 +67,23 @@ def packed(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
 class Units:
     """Values of units, from a given table first, then from a bounded cache.
 
-    `kind` makes the values; `bad` stands for a unit that can't be cut out and
+    With `ranks`, units of Latin characters without special strings are encoded by
+    the rank file of the same vocabulary, all others by the tokenizer.  `kind` makes the values; `bad` stands for a unit that can't be cut out and
     must not equal a value.  The cache has two generations: when the younger is
-    full it becomes the older, so units in use stay and memory is bounded by
-    twice `most` entries.
+    full it becomes the older and only the units just used stay in the younger, so
+    memory is bounded by twice `most` entries and a slice of texts.
     """
 
-    def __init__(self, name: str, kind: Callable, bad, given: dict | None = None, most: int = 400_000):
+    def __init__(
+        self, name: str, kind: Callable, bad, given: dict | None = None, most: int = 500_000, ranks: str | None = None
+    ):
         self.tokenizer = tokenizer(name)
+        self.special = tuple(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
+        self.by_rank = rank_encoder(ranks) if ranks else None
         self.kind, self.bad, self.most = kind, bad, most
-        self.given, self.older = given or {}, {}
+        self.given, self.older = (given or {}) | {"": bad}, {}
         self.now: dict = dict(self.given)
+        self.marks = dict(zip(MARKS, self.alone(MARKS), strict=True))
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
         self.opens[[i for x, i in vocabulary.items() if x.startswith("\u0120")]] = True
@@ -75,13 +94,27 @@ class Units:
         ends = np.cumsum([len(x) for x in done], dtype=np.int64)
         return self.kind(np.fromiter((i for x in done for i in x), np.uint32, int(ends[-1]) if done else 0), ends)
 
-    def together(self, units: Sequence[str]) -> list:
+    def encoded(self, units: Sequence[str]) -> dict:
+        """Values of units that can be cut out."""
+        if not self.by_rank:
+            return dict(zip(units, self.together(units, self._ids), strict=True))
+        plain, other = [], []
+        for u in units:
+            fits = u.isalpha() or not any(x in u for x in self.special)
+            (plain if fits and max(u) < "\u0250" else other).append(u)
+        found = dict(zip(plain, self.together(plain, self.by_rank), strict=True))
+        found.update(zip(other, self.together(other, self._ids), strict=True))
+        return found
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def together(self, units: Sequence[str], encode: Callable[[str], list[int]]) -> list:
         """Values of units that can be cut out, encoded as one text: tokens with a leading space begin units."""
         out = []
-        for at in range(0, len(units), 4096):
-            part = units[at : at + 4096]
-            text = " " + " ".join(part)
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        for at in range(0, len(units), 1024):
+            part = units[at : at + 1024]
+            ids = np.array(encode(" " + " ".join(part)), np.uint32)
             starts = np.flatnonzero(self.opens[ids])
             if len(starts) == len(part) and starts[0] == 0:
                 out += self.kind(ids, np.append(starts[1:], len(ids)))
@@ -91,48 +124,65 @@ class Units:
 
     def fill(self, units: Sequence[str]) -> dict:
         """Values of units that the younger generation lacks."""
-        found, missing = {}, []
-        for u in set(units):
-            value = self.older.get(u)
-            if value is None:
-                if whole(u):
-                    missing.append(u)
-                    continue
-                value = self.bad
-            found[u] = value
-        if missing:
-            found.update(zip(missing, self.together(missing), strict=True))
-        if len(self.now) + len(found) > self.most + len(self.given):
-            self.older, self.now = self.now, dict(self.given)
+        todo = list(set(units))
+        found = {u: v for u, v in zip(todo, map(self.older.get, todo), strict=True) if v is not None}
+        fresh, ended = [], []
+        for u in todo:
+            if u in found:
+                continue
+            if not u or u.strip() != u:
+                found[u] = self.bad
+            elif u[-1] in self.marks and (stem := u[:-1]).isalpha() and max(stem) < "\u0250":
+                ended.append((u, stem))  # a word of Latin letters and its mark are two pre-tokens
+            else:
+                fresh.append(u)
+        stems = {s for _, s in ended}
+        known = {s: v for s in stems if (v := self.now.get(s) or self.older.get(s)) is not None}
+        fresh += stems - known.keys() - set(fresh)
+        known.update(self.encoded(fresh))
+        found.update(known)
+        found.update((u, known[s] + self.marks[u[-1]]) for u, s in ended)
         self.now.update((u, v) for u, v in found.items() if len(u) <= LONGEST)
         return found
 
     def many(self, texts: Sequence[str | None]) -> list[list]:
         """Per text the values of its units, first to last; none for an empty text."""
-        cut = [x.split(" ") if x else [] for x in texts]
-        out = self._looked_up(cut)
-        again = [
-            i
-            for i, (units, values) in enumerate(zip(cut, out, strict=True))
-            if len(units) > 1 and (self.bad in values or not whole(units[0]))
-        ]
-        if again:
-            for i in again:
-                cut[i] = CUT.split(texts[i])
-            done = iter(self.alone([" " + u for i in again for u in cut[i][1:]]))
-            for i in again:
-                out[i] = [next(done) for _ in cut[i][1:]]
-        first = iter(self.alone([units[0] for units in cut if units]))
-        return [[next(first), *values] if units else [] for units, values in zip(cut, out, strict=True)]
-
-    def _looked_up(self, cut: list[list[str]]) -> list[list]:
-        get = self.now.get
-        out = [list(map(get, units[1:])) for units in cut]
-        holes = [(units, values) for units, values in zip(cut, out, strict=True) if None in values]
+        flat: list[str] = []
+        ends, heads = [], []
+        for x in texts:
+            if x:
+                units = x.split(" ")
+                heads.append(units[0])
+                units[0] = ""  # the first unit has no space before it
+                flat += units
+            ends.append(len(flat))
+        values = list(map(self.now.get, flat))
+        holes, at = [], -1
+        try:
+            while True:
+                at = values.index(None, at + 1)
+                holes.append(at)
+        except ValueError:
+            pass
         if holes:
-            found = self.fill([u for units, values in holes for u, v in zip(units[1:], values, strict=True) if v is None])
-            for units, values in holes:
-                for i, v in enumerate(values):
-                    if v is None:
-                        values[i] = found[units[i + 1]]
+            found = self.fill([flat[i] for i in holes])
+            for i in holes:
+                values[i] = found[flat[i]]
+            if len(self.now) > self.most + len(self.given):
+                self.older, self.now = self.now, self.given | dict(zip(flat, values, strict=True))
+        firsts = iter(self.alone(heads))
+        checked = values.count(self.bad) > len(heads)
+        out, start, nth = [], 0, 0
+        for x, end in zip(texts, ends, strict=True):
+            own = values[start:end]
+            start = end
+            if x:
+                head, first = heads[nth], next(firsts)
+                nth += 1
+                if (checked and own.count(self.bad) > 1) or (len(own) > 1 and head.strip() != head) or not head:
+                    cut = CUT.split(x)
+                    own = self.alone([cut[0], *(" " + u for u in cut[1:])])
+                else:
+                    own[0] = first
+            out.append(own)
         return out

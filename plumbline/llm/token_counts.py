@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import mapped, slices
-from plumbline.llm.pretokens import LONGEST, Units, lengths, whole
+from plumbline.llm.pretokens import LONGEST, Units, lengths
 
 #: Units that a partition keeps count of at most; the rarest are let go beyond it.
 COUNTED = 200_000
@@ -47,7 +47,7 @@ def frequent_units(docs: DataFrame, table_size: int) -> DataFrame:
                 seen = Counter({u: n for u, n in seen.items() if n > 1})
                 if len(seen) > COUNTED:
                     seen = Counter(dict(seen.most_common(COUNTED // 2)))
-        top = [(u, n) for u, n in seen.most_common(table_size) if n > 1 and len(u) <= LONGEST and whole(u)]
+        top = [(u, n) for u, n in seen.most_common(table_size) if n > 1 and len(u) <= LONGEST and u.strip() == u != ""]
         if top:
             units, n = zip(*top, strict=True)
             yield {"unit": units, "n": n}
@@ -65,8 +65,8 @@ def token_counts(
     spark = docs.sparkSession
     top = frequent_units(docs, table_size).orderBy(F.desc("n"), "unit").limit(table_size)
     units = [r["unit"] for r in top.select("unit").toLocalIterator()]
-    sizes = Units(name, lengths, -1).together(units)
-    sent = spark.sparkContext.broadcast((" ".join(units), np.array(sizes, np.uint8)))
+    sizes = Units(name, lengths, BAD).encoded(units)
+    sent = spark.sparkContext.broadcast((" ".join(units), np.array([sizes[u] for u in units], np.uint8)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         text, n = sent.value
