@@ -11,7 +11,10 @@ If they link, their symmetric difference has at most d = (100 - share) * (n + m)
 at least 1 + e parts hold the same shingles in both sets.  A set emits a key for
 each part that isn't empty, and for its empty ones only if it has more than e of
 them, so no link is lost and an accidental meeting takes several equal shingles.
-Sizes are split into bands with a scheme of parts each; a set near a border emits
+Shingles of many texts are left out of the parts: the bound on the difference
+holds for the rest as well, and passages that many texts share make nobody meet.
+Sets with few other shingles deal all of theirs; in between, sets do both, so
+that linked sets always have one way in common.  Sizes are split into bands with a scheme of parts each; a set near a border emits
 under both.  Sets that share a key are candidates; the components of candidates
 are families.
 
@@ -50,6 +53,10 @@ _U = np.uint64
 #: A block's shingles and sets; a meeting of two holds twice that.
 BLOCK_SHINGLES, BLOCK_SETS = 500_000, 1_000
 FANOUT = 8
+#: Sets with a larger share of rare shingles meet by these alone.
+MOSTLY_RARE = 0.6
+#: Buckets of ids by which texts are chosen to be read again; the bound of that broadcast in bits.
+BUCKETS = 1 << 22
 
 
 # Candidate keys ---------------------------------------------------------------
@@ -68,8 +75,8 @@ def bands(share: int, largest: int, ratio: float = 1.5) -> list[tuple[int, int]]
 _BANDS: dict[int, list[tuple[int, int]]] = {}
 
 
-def schemes(n: int, share: int) -> list[tuple[int, int, int]]:
-    """(band, parts, empty parts allowed) of the schemes that a set of size n emits under."""
+def schemes(n: int, share: int) -> list[tuple[int, int]]:
+    """(band, most shingles that may differ) of the schemes that a set of size n emits under."""
     if share not in _BANDS or _BANDS[share][-1][1] < 4 * n:
         _BANDS[share] = bands(share, max(4 * n, 1 << 20))
     out = []
@@ -78,53 +85,108 @@ def schemes(n: int, share: int) -> list[tuple[int, int, int]]:
             continue
         if 100 * n < share * low:
             break
-        apart = 2 * (100 - share) * high // (100 + share)
-        spare = apart // 12 + 1
-        out.append((b, apart + 1 + spare, spare))
+        out.append((b, 2 * (100 - share) * high // (100 + share)))
     return out
 
 
-def keys_of(shingles: np.ndarray, share: int) -> np.ndarray:
-    """Keys of a set: sets that link share at least one, unless they are equal."""
+def dealt(spread: np.ndarray, apart: int, spare: int, name: int) -> np.ndarray:
+    """Keys of the parts of one scheme: of those with shingles, and of all if more than `spare` have none."""
+    parts = apart + 1 + spare
+    part = (spread % _U(parts)).astype(np.int64)
+    sums = np.zeros(parts, np.uint64)
+    np.add.at(sums, part, spread | _U(1))
+    full = np.bincount(part, minlength=parts) > 0
+    keys = mix(sums ^ mix(np.arange(parts, dtype=np.uint64) + _U(name << 32)))
+    return keys if parts - int(full.sum()) > spare else keys[full]
+
+
+def keys_of(shingles: np.ndarray, share: int, frequent: np.ndarray) -> np.ndarray:
+    """Keys of a set: sets that link share at least one, unless they are equal.  frequent: sorted."""
     n, out = len(shingles), []
     if 100 * n < share * (n + 1):
         return np.zeros(0, np.int64)  # so small that only equal sets link
     spread = mix(shingles ^ _U(0x5851F42D4C957F2D))
-    for band, parts, spare in schemes(n, share):
-        part = (spread % _U(parts)).astype(np.int64)
-        sums = np.zeros(parts, np.uint64)
-        np.add.at(sums, part, spread | _U(1))
-        full = np.bincount(part, minlength=parts) > 0
-        names = mix(np.arange(parts, dtype=np.uint64) + _U(band << 32))
-        keys = mix(sums ^ names)
-        out.append(keys if parts - int(full.sum()) > spare else keys[full])
+    rare = spread
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
+        rare = spread[frequent[at] != shingles]
+    # Linked sets differ in at most `apart` rare shingles too.  The shares of rare ones in two
+    # linked sets are so close that one of the two ways is open to both.
+    by_rare = len(rare) >= _least_rare(share) * n
+    by_all = len(rare) <= MOSTLY_RARE * n
+    for band, apart in schemes(n, share):
+        if by_rare:
+            out.append(dealt(rare, apart, apart // 3 + 1, 2 * band))
+        if by_all:
+            out.append(dealt(spread, apart, apart // 12 + 1, 2 * band + 1))
     return np.concatenate(out).view(np.int64)
 
 
-def sets_of(docs: DataFrame, size: int, share: int) -> DataFrame:
-    """Per row: doc_id, part, n_shingles, set_id and the keys."""
+def _least_rare(share: int) -> float:
+    """What the share of rare shingles is at least in a set linked to one with more than MOSTLY_RARE."""
+    t = share / 100  # the other set may lack rare shingles, or have more of the frequent ones
+    return min((MOSTLY_RARE - (1 - t)) / t, MOSTLY_RARE * t) - 0.005
+
+
+def frequent_shingles(docs: DataFrame, size: int, floor: int = 16, most: int = 500_000) -> np.ndarray:
+    """Shingles of about `floor` texts or more, the most frequent first to be taken; at most `most`, sorted.
+
+    Counted where a slice of a partition has them twice.  Which they are decides
+    who meets, not who links.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in slices(batches, "text", 4 << 20):
+            found = list(shingle_sets(bytes_of(batch.column("text")), size))
+            shingle, n = np.unique(np.concatenate(found), return_counts=True)
+            often = n > 1
+            yield {"shingle": pa.array(shingle[often].view(np.int64)), "n": pa.array(n[often])}
+
+    counts = mapped(docs.select(F.col("text").cast("string").alias("text")), work, "shingle bigint,n bigint")
+    top = counts.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= floor)
+    chosen = top.orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toPandas()["shingle"]
+    return np.sort(chosen.to_numpy(np.int64).view(np.uint64))
+
+
+def sets_of(docs: DataFrame, size: int) -> DataFrame:
+    """Per row: doc_id, row, n_shingles, set_id, part."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in slices(batches, "text", 2 << 20):
-            n, ids, keys = [], [], []
-            for s in shingle_sets(bytes_of(batch.column("text")), size):
-                n.append(len(s))
-                ids.append(set_id(s))
-                keys.append(keys_of(s, share))
-            offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
+            found = list(shingle_sets(bytes_of(batch.column("text")), size))
             yield {
                 "doc_id": batch.column("doc_id"),
                 "row": batch.column("row"),
-                "n_shingles": n,
-                "set_id": ids,
-                "keys": pa.ListArray.from_arrays(offsets, np.concatenate(keys)),
+                "n_shingles": [len(s) for s in found],
+                "set_id": [set_id(s) for s in found],
             }
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return mapped(
-        rows.withColumn("row", row_key()), work,
-        "doc_id bigint,row bigint,n_shingles bigint,set_id bigint,keys array<bigint>",
-    ).withColumn("part", F.shiftright("row", 33))
+    numbered = rows.withColumn("row", row_key())
+    schema = "doc_id bigint,row bigint,n_shingles bigint,set_id bigint"
+    return mapped(numbered, work, schema).withColumn("part", F.shiftright("row", 33))
+
+
+def candidate_keys(docs: DataFrame, size: int, share: int) -> DataFrame:
+    """(set_id, key) of all sets; a task gives the keys of equal sets once."""
+    sent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, size))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        given: set[int] = set()
+        for batch in slices(batches, "text", 2 << 20):
+            ids, keys = [], []
+            for s in shingle_sets(bytes_of(batch.column("text")), size):
+                i = set_id(s)
+                if i not in given:
+                    given.add(i)
+                    ids.append(i)
+                    keys.append(keys_of(s, share, sent.value))
+            if ids:
+                every = np.repeat(np.array(ids, np.int64), [len(k) for k in keys])
+                yield {"set_id": pa.array(every), "key": pa.array(np.concatenate(keys))}
+
+    texts = docs.where("doc_id is not null").select(F.col("text").cast("string").alias("text"))
+    return mapped(texts, work, "set_id bigint,key bigint")
 
 
 def set_id(shingles: np.ndarray) -> int:
@@ -261,13 +323,14 @@ def links(members: DataFrame, share: int) -> DataFrame:
 
 def near_groups(docs: DataFrame, size: int = 5, share: int = 80) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
-    rows = stored(sets_of(docs, size, share))
+    rows = stored(sets_of(docs, size))
     sets = stored(
         rows.where("n_shingles > 0 and doc_id is not null")
         .groupBy("set_id")
         .agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"))
     )
-    keys = rows.where("doc_id is not null").select("set_id", F.explode("keys").alias("key"))
+    # One exchange serves both uses: copies are few by now, a key's rows are of different sets.
+    keys = candidate_keys(docs, size, share).repartition("key")
     cells = keys.groupBy("key").agg(F.min("set_id").alias("centre"), F.max("set_id").alias("last")).where("centre < last")
     edges = keys.join(cells.select("key", "centre"), "key").where("set_id <> centre")
     family = components(edges.select(F.col("set_id").alias("a"), F.col("centre").alias("b")).distinct())
@@ -298,16 +361,28 @@ def near_groups(docs: DataFrame, size: int = 5, share: int = 80) -> DataFrame:
     )
     calls = stored(in_one.unionByName(in_pairs))
 
-    # The shingles of the sets that meet, computed again from one text of each.
-    wanted = calls.select(F.col("least").alias("_id"), "set_id").distinct()
+    # The shingles of the sets that meet, computed again from texts whose id falls in
+    # a marked bucket; others than the wanted drop out at the join.
+    marked = np.zeros(BUCKETS, bool)
+    wanted = calls.select(F.pmod(F.xxhash64(F.col("least").cast("bigint")), F.lit(BUCKETS)).alias("b")).distinct()
+    marked[wanted.toPandas()["b"].to_numpy(np.int64)] = True
+    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(marked))
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        marks, done = np.unpackbits(sent.value).astype(bool), set()
         for batch in slices(batches, "text", 2 << 20):
-            found = list(shingle_sets(bytes_of(batch.column("text")), size))
-            yield {"set_id": [set_id(s) for s in found], "shingles": [s.tobytes() for s in found]}
-
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("text").cast("string").alias("text"))
-    found = stored(mapped(texts.join(wanted.select("_id").distinct(), "_id"), again, "set_id bigint,shingles binary"))
+            hit = marks[batch.column("bucket").to_numpy()]
+            texts = [x for x, y in zip(bytes_of(batch.column("text")), hit.tolist(), strict=True) if y]
+            found = {set_id(s): s for s in shingle_sets(texts, size)}
+            new = [i for i in found if i not in done]
+            done.update(new)
+            if new:
+                yield {"set_id": new, "shingles": [found[i].tobytes() for i in new]}
+
+    texts = docs.where("doc_id is not null").select(
+        F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(BUCKETS)).alias("bucket"), F.col("text").cast("string").alias("text")
+    )
+    found = mapped(texts, again, "set_id bigint,shingles binary")
     ready = calls.select("set_id", "side", "meeting").join(found, "set_id").repartition("meeting")
     linked = components(links(ready.sortWithinPartitions("meeting", "set_id"), share))
 
