@@ -33,6 +33,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import ahocorasick
 import numpy as np
@@ -73,14 +74,63 @@ def entries(word: str) -> list[str]:
     return [" " + word[:k] for k in BEGIN if k < len(word)] + [f" {word[:LONGEST]} " if len(word) <= LONGEST else " " + word[:LONGEST]]
 
 
+def prefix(word: str) -> str:
+    """What all entries of a word have in common; parts of a lexicon are dealt by it."""
+    return word[: BEGIN[0]]
+
+
 @dataclass
-class Model:
-    """What scoring needs: bounded by `most` entries and exceptions."""
+class Part:
+    """A share of a table of keys, as the tasks get it."""
 
     weights: dict[str, float]
-    exceptions: frozenset[str]
+    exceptions: list[str]
+
+
+class Table:
+    """Keys (head, key, toxic, clean, phrase) where they lie, dealt by `head` into parts of about `most` keys.
+
+    All entries of a word and the phrases it is matched in lie in one part, so parts
+    can be matched one after the other and their sums added.
+    """
+
+    def __init__(self, keys: DataFrame, toxic: int, clean: int, most: int, named: Sequence[str] = ()):
+        self.keys, self.toxic, self.clean, self.named = keys, toxic, clean, sorted(named)
+        self.parts = max(1, math.ceil(keys.count() / most))
+
+    def part(self, i: int) -> Part:
+        mine = self.keys.where(F.pmod(F.xxhash64("head"), F.lit(self.parts)) == i)
+        weights, phrases = {}, set(self.named)
+        for r in mine.select("key", "toxic", "clean", "phrase").toLocalIterator():
+            if r["phrase"]:
+                phrases.add(r["key"])
+            else:
+                weights[r["key"]] = weighed(r["toxic"], r["clean"], self.toxic, self.clean)
+        return Part(weights, sorted(phrases))
+
+    def __iter__(self) -> Iterator[Part]:
+        return (self.part(i) for i in range(self.parts))
+
+
+@dataclass
+class Model:
+    """What scoring needs; the lexicon stays a table and is sent in parts."""
+
+    table: Table | None
     curve: tuple[float, float, float]
 
+    @property
+    def weights(self) -> dict[str, float]:
+        return {k: w for p in self.table or () for k, w in p.weights.items()}
+
+    @property
+    def exceptions(self) -> frozenset[str]:
+        return frozenset(x for p in self.table or () for x in p.exceptions)
+
+
+def weighed(n: int, also: int, toxic: int, clean: int) -> float:
+    return math.log((n + 0.5) / (toxic + 1)) - math.log((also + 0.5) / (clean + 1))
+
 
 class Matcher:
     def __init__(self, weights: dict[str, float], exceptions: Sequence[str]):
@@ -117,8 +167,8 @@ def features(total: float, n_words: int) -> tuple[float, float]:
     return math.log1p(total), math.log1p(100 * total / max(1, n_words))
 
 
-def counted(rows: DataFrame, of: Callable[[list[str], int], Iterator[tuple[str, int]]], floor: int) -> DataFrame:
-    """(key, toxic, clean): texts that `of(words, toxic)` names a key for, counted within tasks first."""
+def counted(rows: DataFrame, of: Callable[..., Iterator[str]], floor: int, *more: str) -> DataFrame:
+    """(key, toxic, clean): texts that `of(words, toxic, *more)` names a key for, counted within tasks first."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         seen = (Counter(), Counter())
@@ -131,13 +181,13 @@ def counted(rows: DataFrame, of: Callable[[list[str], int], Iterator[tuple[str,
             seen[1].clear()
 
         for batch in slices(batches, "text", 4 << 20):
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                seen[toxic].update(of(folded(text), toxic))
+            for text, toxic, *x in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", *more)), strict=True):
+                seen[toxic].update(of(folded(text), toxic, *x))
             if len(seen[0]) + len(seen[1]) > 400_000:
                 yield from out()
         yield from out()
 
-    sums = mapped(rows.select("text", "toxic"), work, "key string,toxic bigint,clean bigint")
+    sums = mapped(rows.select("text", "toxic", *more), work, "key string,toxic bigint,clean bigint")
     sums = sums.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     return sums.where(F.col("toxic") + F.col("clean") >= floor)
 
@@ -172,73 +222,129 @@ def fit(
 ) -> Model:
     """Lexicon, exceptions and curve from the labelled rows among `docs`.
 
-    `most` bounds entries, candidates (ten times as many) and exception phrases.
+    No key is left out for the number of keys: counts are joined and filtered where
+    they lie.  `most` sizes what is sent at a time, ten times as many keys; a larger
+    lexicon is matched in several passes.
     """
     rows = stored(labelled(docs, labels, label))
     total = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = total.get(1, 0), total.get(0, 0)
     if not toxic or not clean:
-        return Model({}, frozenset(), (-40.0, 0.0, 0.0))
+        return Model(None, (-40.0, 0.0, 0.0))
 
     def candidates(words: list[str], _: int) -> Iterator[str]:
         return {e for w in set(words) for e in entries(w)}
 
-    top = counted(rows.where("toxic = 1"), candidates, support).orderBy(F.desc("toxic"), "key").limit(10 * most).collect()
-    seen = {r["key"]: r["toxic"] for r in top}
-    send = docs.sparkSession.sparkContext.broadcast(frozenset(seen))
+    weight = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
+    head = F.substring(F.trim("key"), 1, BEGIN[0]).alias("head")
+    heavy = counted(rows, candidates, support).where((F.col("toxic") >= support) & (weight >= least))
+    heavy = stored(heavy.select(head, "key", "toxic", "clean", F.lit(False).alias("phrase")))
+    strong = _strongest(rows.where("toxic = 1"), Table(heavy, toxic, clean, 10 * most), support, margin)
+    lexicon = stored(heavy.join(strong, "key", "left_semi"))
+    phrases = _spared(rows, Table(lexicon, toxic, clean, 10 * most), support)
+    named = {f" {' '.join(folded(x))} " for x in exceptions if folded(x)}
+    table = Table(stored(lexicon.unionByName(phrases)), toxic, clean, 10 * most, named)
+    return Model(table, _curve(rows, table))
 
-    def known(words: list[str], _: int) -> Iterator[str]:
-        wanted = send.value
-        return {e for w in set(words) for e in entries(w) if e in wanted}
 
-    also = {r["key"]: r["clean"] for r in counted(rows.where("toxic = 0"), known, 1).collect()}
-    weight = {
-        e: w
-        for e, n in seen.items()
-        if (w := math.log((n + 0.5) / (toxic + 1)) - math.log((also.get(e, 0) + 0.5) / (clean + 1))) >= least
-    }
-    sent = docs.sparkSession.sparkContext.broadcast(weight)
+def _strongest(rows: DataFrame, table: Table, support: int, margin: float) -> DataFrame:
+    """(key): entries that are the strongest of enough texts, or within `margin` of it."""
+    spark = rows.sparkSession
 
-    def strongest(words: list[str], is_toxic: int) -> Iterator[str]:
-        weights = sent.value
+    def best(weights: dict[str, float], words: list[str]) -> list[tuple[float, int, str]]:
         own = [[(weights[e], -len(e), e) for e in entries(w) if e in weights] for w in set(words)]
-        found = [max(x) for x in own if x]
-        return {e for w, _, e in found if w >= max(found)[0] - margin}
-
-    credit = counted(rows.where("toxic = 1"), strongest, support).collect()
-    keep = sorted((r["key"] for r in credit), key=lambda e: (-weight[e], e))[:most]
-    lexicon = {e: weight[e] for e in keep}
-    phrases = set(_spared(rows, lexicon, support, most)) if lexicon else set()
-    phrases |= {f" {' '.join(folded(x))} " for x in exceptions if folded(x)}
-    return Model(lexicon, frozenset(phrases), _curve(rows, lexicon, phrases))
-
-
-def _spared(rows: DataFrame, lexicon: dict[str, float], support: int, most: int) -> list[str]:
-    """Phrases of a matched word and a neighbour that only clean texts have."""
-    sent = rows.sparkSession.sparkContext.broadcast(lexicon)
-
-    def pairs(words: list[str], _: int) -> Iterator[str]:
-        weights = sent.value
-        hit = [any(e in weights for e in entries(w)) for w in words]
-        return {
-            f" {words[i]} {words[i + 1]} "
-            for i in range(len(words) - 1)
-            if hit[i] != hit[i + 1] and len(words[i]) + len(words[i + 1]) <= 2 * LONGEST
-        }
-
-    found = counted(rows, pairs, support).where("toxic = 0").orderBy(F.desc("clean"), "key").limit(most)
-    return [r["key"] for r in found.collect()]
-
-
-def _curve(rows: DataFrame, lexicon: dict[str, float], phrases: set[str]) -> tuple[float, float, float]:
+        return [max(x) for x in own if x]
+
+    top = rows.withColumn("top", F.lit(float("-inf")))
+    for part in table if table.parts > 1 else ():
+        sent = spark.sparkContext.broadcast(part.weights)
+
+        def raised(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[dict]:
+            for batch in slices(batches, "text", 4 << 20):
+                text, before = batch.column("text"), batch.column("top").to_pylist()
+                found = (best(sent.value, folded(t)) for t in text.to_pylist())
+                yield {
+                    "text": text,
+                    "toxic": batch.column("toxic"),
+                    "top": [max([b, *(w for w, _, _ in f)]) for b, f in zip(before, found, strict=True)],
+                }
+
+        top = stored(mapped(top, raised, "text string,toxic int,top double"))
+        sent.destroy()
+
+    found = []
+    for part in table:
+        sent = spark.sparkContext.broadcast(part.weights)
+
+        def credited(words: list[str], _: int, known: float, sent=sent) -> Iterator[str]:
+            of = best(sent.value, words)
+            least = max([known, *(w for w, _, _ in of)]) - margin
+            return {e for w, _, e in of if w >= least}
+
+        found.append(stored(counted(top, credited, support, "top").select("key")))
+        sent.destroy()
+    return reduce(DataFrame.unionByName, found)
+
+
+def _spared(rows: DataFrame, table: Table, support: int) -> DataFrame:
+    """Phrases of a matched word and a neighbour that only clean texts have, as rows of a table of keys."""
+    found = []
+    for part in table:
+        sent = rows.sparkSession.sparkContext.broadcast(part.weights)
+
+        def pairs(words: list[str], _: int, sent=sent) -> Iterator[str]:
+            weights = sent.value
+            hit = [any(e in weights for e in entries(w)) for w in words]
+            return {
+                f"{prefix(words[i] if hit[i] else words[i + 1])}\t {words[i]} {words[i + 1]} "
+                for i in range(len(words) - 1)
+                if hit[i] != hit[i + 1] and len(words[i]) + len(words[i + 1]) <= 2 * LONGEST
+            }
+
+        found.append(stored(counted(rows, pairs, support).where("toxic = 0")))
+        sent.destroy()
+    at = F.split("key", "\t")
+    each = reduce(DataFrame.unionByName, found).select(at[0].alias("head"), at[1].alias("key"), "toxic", "clean")
+    # Two words that are matched in different parts name their phrase twice: no neighbour there.
+    once = each.groupBy("key").agg(F.count("*").alias("_n"), *(F.first(c).alias(c) for c in ("head", "toxic", "clean")))
+    return once.where("_n = 1").select("head", "key", "toxic", "clean", F.lit(True).alias("phrase"))
+
+
+def _summed(rows: DataFrame, table: Table) -> tuple[DataFrame, str, object]:
+    """`rows` with the sums of all parts but the last in a new column, its name, and the last part, sent."""
+    into = unused(rows, "_sum")
+    schema = T.StructType([*rows.schema.fields, T.StructField(into, T.DoubleType())])
+    at = [x.lower() for x in rows.columns].index("text")
+    out = rows.withColumn(into, F.lit(0.0))
+    for i, part in enumerate(table):
+        sent = rows.sparkSession.sparkContext.broadcast((part.weights, part.exceptions))
+        if i < table.parts - 1:
+
+            def work(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+                for batch in slices(batches, batch_text, 4 << 20):
+                    texts, before = batch.column(at).cast(pa.string()).to_pylist(), batch.column(-1).to_pylist()
+                    now = [b + _sum(sent, folded(t)) for b, t in zip(before, texts, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(now, pa.float64())], names=batch.schema.names)
+
+            batch_text = rows.columns[at]
+            out = stored(out.mapInArrow(work, schema))
+            sent.destroy()
+    return out, into, sent
+
+
+def _sum(sent, words: list[str]) -> float:
+    return sum(w for _, _, w in _matcher(sent).hits(words))
+
+
+def _curve(rows: DataFrame, table: Table) -> tuple[float, float, float]:
     """Logistic curve by Newton steps over counts in cells of the two features."""
-    sent = rows.sparkSession.sparkContext.broadcast((lexicon, sorted(phrases)))
+    ready, into, sent = _summed(rows, table)
 
-    def cell(words: list[str], _: int) -> Iterator[str]:
-        x, y = features(sum(w for _, _, w in _matcher(sent).hits(words)), len(words))
+    def cell(words: list[str], _: int, before: float) -> Iterator[str]:
+        x, y = features(before + _sum(sent, words), len(words))
         return {f"{round(4 * x)}:{round(4 * y)}"}
 
-    cells = counted(rows, cell, 1).collect()  # at most some hundred: both features are logarithms
+    cells = counted(ready, cell, 1, into).collect()  # at most some hundred: both features are logarithms
     x = np.array([[1.0, *(int(v) / 4 for v in r["key"].split(":"))] for r in cells])
     n1, n0 = (np.array([r[k] for r in cells], float) for k in ("toxic", "clean"))
     beta = np.zeros(3)
@@ -266,23 +372,26 @@ def _matcher(sent) -> Matcher:
 
 def scored(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
     """`docs` with a score from 0 to 1; the score is a function of `text` alone."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.weights, sorted(model.exceptions)))
     a, b, c = model.curve
-    schema = T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())])
     at = [x.lower() for x in docs.columns].index("text")
+    schema = T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())])
+    none = docs.sparkSession.createDataFrame([], "head string,key string,toxic bigint,clean bigint,phrase boolean")
+    ready, _, sent = _summed(docs, model.table or Table(none, 0, 0, 1))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, docs_text, 4 << 20):
             out = []
-            for text in batch.column(at).cast(pa.string()).to_pylist():
+            texts, before = batch.column(at).cast(pa.string()).to_pylist(), batch.column(-1).to_pylist()
+            for text, s in zip(texts, before, strict=True):
                 words = folded(text)
-                x, y = features(sum(w for _, _, w in _matcher(sent).hits(words)), len(words))
+                x, y = features(s + _sum(sent, words), len(words))
                 out.append(1 / (1 + math.exp(-min(40.0, max(-40.0, a + b * x + c * y)))))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(out, pa.float64())], names=[*batch.schema.names, into]
+                [*batch.columns[:-1], pa.array(out, pa.float64())], names=[*batch.schema.names[:-1], into]
             )
 
-    return docs.mapInArrow(work, schema)
+    docs_text = docs.columns[at]
+    return ready.mapInArrow(work, schema)
 
 
 def is_held_out(doc_id: Column) -> Column:

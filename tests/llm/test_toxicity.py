@@ -58,3 +58,31 @@ def test_without_labels_nothing_is_toxic(spark, rows):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert X.toxicity(d, none).where("predicted = 1").count() == 0
     assert X.toxicity(d.limit(0), none).count() == 0
+
+
+def test_no_key_is_cut_by_number(spark):
+    """Many common words must not push rare toxic ones out, and a lexicon of several parts scores as one."""
+    rng = random.Random(3)
+    name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3))
+    common = [f"{name(i)}x" for i in range(300)]
+    docs, labels = [], []
+    for i in range(900):
+        w = rng.sample(common, 60)
+        if i % 9 == 0:
+            w[5] = f"{name(i // 9 % 8)}zbad"
+        elif i % 9 == 1:
+            w[5:7] = [f"{name(i // 9 % 8)}zbad", "doctor"]
+        docs.append((i, " ".join(w)))
+        labels.append((i, int(i % 9 == 0)))
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    whole = X.fit(d, marks, support=5, least=0.5)
+    parts = X.fit(d, marks, support=5, least=0.5, most=1)
+    assert {e[1:4] for e in whole.weights} >= {name(i) for i in range(8)}
+    assert parts.weights == whole.weights
+    assert whole.table.parts == 1 < parts.table.parts
+    assert parts.exceptions == whole.exceptions
+    assert any(x.endswith(" doctor ") for x in whole.exceptions)
+    one, many = ({r["doc_id"]: r["score"] for r in X.scored(d, m).collect()} for m in (whole, parts))
+    assert many == pytest.approx(one, abs=1e-9)
+    assert min(one[i] for i, t in labels if t) > max(one[i] for i, t in labels if not t)
