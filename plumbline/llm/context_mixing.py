@@ -27,8 +27,10 @@ from plumbline.llm.shingles import mix
 _U = np.uint64
 #: Orders of the predictors; keys hold the longest context and the byte.
 ORDERS = (0, 1, 2, 3, 4, 5)
+#: Orders with dense tables, 16 MB at most.
+LOW = 3
 SPAN = 6
-#: Slots are named by so many bits at most: 32 MB of logits, the bound of the broadcast.
+#: Bits that name the slots of a hashed table.
 MOST_BITS = 25
 CLOSING = b"\xff"
 #: Sets of weights: by order, certainty of it and of the next lower one, and bit; by last byte and bit.
@@ -90,15 +92,59 @@ def logits(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return np.clip(np.round(_SCALE * x), -127, 127).astype(np.int8)
 
 
-def inputs(table: np.ndarray, base: list[np.ndarray], keys: np.ndarray, bit: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def path_logits(keys: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
+    """For each key the logits of the eight nodes of its byte in its context of `order` bytes, from these keys alone."""
+    part = keys & _U((1 << (8 * (order + 1))) - 1)
+    by = np.argsort(part, kind="stable")
+    part, n = part[by], counts[by]
+    out = np.zeros((len(keys), 8), np.int8)
+    for bit in range(8 if len(keys) else 0):
+        run = part >> _U(8 - bit)
+        cut = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+        ones = np.add.reduceat(n * ((part >> _U(7 - bit)) & _U(1)).astype(np.int64), cut)
+        both = np.add.reduceat(n, cut)
+        value = np.where(both > 0, logits(both - ones, ones), 0).astype(np.int8)
+        out[by, bit] = np.repeat(value, np.diff(np.append(cut, len(run))))
+    return out
+
+
+def dense(keys: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
+    """The logits of all contexts of a low order, at (context, node)."""
+    out = np.zeros(1 << (8 * (order + 1)), np.int8)
+    values = path_logits(keys, counts, order)
+    context = (keys & _U((1 << (8 * (order + 1))) - 1)) >> _U(8) << _U(8)
+    for bit in range(8):
+        out[context | node_of(keys, bit)] = values[:, bit]
+    return out
+
+
+class Exact:
+    """Logits of unshared contexts: of the low orders from dense tables, of the others with each key."""
+
+    def __init__(self, low: list[np.ndarray], high: np.ndarray):
+        self.low, self.high = low, high
+
+    def part(self, at: int, size: int) -> Exact:
+        return Exact(self.low, self.high[at : at + size])
+
+    def found(self, keys: np.ndarray, bit: int) -> list[np.ndarray]:
+        context, node = keys >> _U(8), node_of(keys, bit)
+        low = [t[((context & _U((1 << (8 * k)) - 1)) << _U(8)) | node] for k, t in enumerate(self.low)]
+        return low + [self.high[:, k, bit] for k in range(self.high.shape[1])]
+
+
+def inputs(table: np.ndarray | Exact, base: list[np.ndarray] | None, keys: np.ndarray, bit: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Logits of the orders and a constant, and the index of the weights by each gate."""
-    bits = int(len(table)).bit_length() - 1
-    node = node_of(keys, bit)
+    if isinstance(table, Exact):
+        found = table.found(keys, bit)
+    else:
+        node, bits = node_of(keys, bit), int(len(table)).bit_length() - 1
+        found = [table[slot(b, node, bits)] for b in base]
     x = np.empty((len(keys), len(ORDERS) + 1), np.float32)
     high = np.zeros(len(keys), np.int64)
     sure = np.zeros(len(keys), np.int64)
     for k in range(len(ORDERS)):
-        v = table[slot(base[k], node, bits)]
+        v = found[k]
         x[:, k] = v
         seen = v != 0
         high[seen] = k
@@ -120,9 +166,10 @@ def learn(table: np.ndarray, keys: np.ndarray, counts: np.ndarray, batch: int =
     seen = [np.zeros(n) for n in GATES]
     for at in range(0, len(keys), batch):
         k, n = keys[at : at + batch], counts[at : at + batch].astype(np.float64)
-        base = bases(k)
+        exact = isinstance(table, Exact)
+        here, base = (table.part(at, batch), None) if exact else (table, bases(k))
         for bit in range(8):
-            x, gates = inputs(table, base, k, bit)
+            x, gates = inputs(here, base, k, bit)
             target = ((k >> _U(7 - bit)) & _U(1)).astype(np.float64)
             for w, e, s, g in zip(weights, energy, seen, gates, strict=True):
                 p = 1 / (1 + np.exp(-np.einsum("ij,ij->i", x, w[g])))
@@ -143,9 +190,10 @@ def cost(table: np.ndarray, weights: list[np.ndarray], keys: np.ndarray) -> np.n
     weights = [w.astype(np.float32) for w in weights]
     for at in range(0, len(keys), 1 << 15):
         k = keys[at : at + (1 << 15)]
-        base = bases(k)
+        exact = isinstance(table, Exact)
+        here, base = (table.part(at, 1 << 15), None) if exact else (table, bases(k))
         for bit in range(8):
-            x, gates = inputs(table, base, k, bit)
+            x, gates = inputs(here, base, k, bit)
             sign = np.where((k >> _U(7 - bit)) & _U(1), np.float32(-1), np.float32(1))
             for m, (w, g) in enumerate(zip(weights, gates, strict=True)):
                 y = np.clip(sign * np.einsum("ij,ij->i", x, w[g]), -40, 40)

@@ -1,16 +1,19 @@
 """LM scoring of a corpus by online logistic context mixing (see `context_mixing`).
 
-Gathered from all training texts: the 6-grams of their bytes with counts, and from
-these the counts of every slot.  Both are ordinary sums by key that are combined
-within tasks first; the number of keys follows the corpus.  One part in six of the
-training texts only trains the mixing weights: against logits of the other texts,
-so that the weights learn how far each order can be trusted on text not seen, in
-several online passes over shards of the 6-grams whose weights are averaged.  The
-scoring table then has the counts of all training texts.
-
-The table has a slot for every other node of the corpus's 6-grams, up to 2**25
-slots of one byte; beyond that hashed contexts share slots.  It is the only model
-data that is broadcast besides the weights.
+Gathered from all texts: the 6-grams of their bytes with counts, in training texts
+and in all.  These are ordinary sums by key that are combined within tasks first;
+the number of keys follows the corpus.  One part in six of the training texts only
+trains the mixing weights: against logits of the other texts, so that the weights
+learn how far each order can be trusted on text not seen, in several online passes
+over shards of the 6-grams whose weights are averaged.  The logits used for scores
+are from the counts of all training texts.
+
+No contexts share a place.  Those of up to two bytes have dense tables of a fixed 16
+MB, which are broadcast.  For longer ones the 6-grams that share the last three bytes
+of context lie together, which holds all contexts of three to five bytes whole, and
+each 6-gram gets the logits of its nodes there and then its costs.  The costs of a
+bounded number of the most frequent 6-grams are broadcast; all others of a text are
+joined with the table of costs.
 
 Beside it stands a unigram model of words with one added to every count.  Words
 are counted over all training texts.  A bounded number of the most frequent is
@@ -19,7 +22,7 @@ broadcast; all others of a text are joined with the counts.
 Defined results: a null text counts as empty: the end alone, for both models.  A
 row without id is a row whose id is the empty text, for its part in training.
 Repeated ids are scored row by row.  Without training texts all tokens are unknown
-and the table is empty.  Columns besides `doc_id` and `text` are not read.
+and all logits are 0.  Columns besides `doc_id` and `text` are not read.
 """
 
 from __future__ import annotations
@@ -41,8 +44,10 @@ from plumbline.llm.shingles import bytes_of
 #: Remainder of the training rows that train weights only.
 WEIGHTS_PART = 5
 SHARDS = 16
-#: Segments of the table that are built apart.
-SEGMENTS = 64
+#: 6-grams whose costs are broadcast: 32 MB.
+GRAMS = 2_000_000
+#: 6-grams whose nodes are counted at a time, at least.
+BLOCK = 200_000
 #: Words that are broadcast, and their longest length in bytes.
 HEAD, LONGEST = 150_000, 64
 
@@ -66,25 +71,25 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
-    """(gram, a, b): 6-grams with their counts in texts for the table and in texts for the weights."""
+    """(gram, a, b, n): 6-grams with their counts in texts for the logits, in texts for the weights and in all."""
 
     def merged(parts: list[np.ndarray]) -> list[np.ndarray]:
         gram = np.concatenate([p[0] for p in parts])
         order = np.argsort(gram, kind="stable")
         gram = gram[order]
         cut = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
-        return [gram[cut], *(np.add.reduceat(np.concatenate([p[i] for p in parts])[order], cut) for i in (1, 2))]
+        return [gram[cut], *(np.add.reduceat(np.concatenate([p[i] for p in parts])[order], cut) for i in (1, 2, 3))]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         parts: list = []
         for batch in slices(batches, "text", 2 << 20):
-            texts, aside = bytes_of(batch.column("text")), batch.column("aside").to_pylist()
-            for which in (0, 1):
-                keys, _ = M.keys_of([t for t, x in zip(texts, aside, strict=True) if x == bool(which)])
+            texts, use = bytes_of(batch.column("text")), batch.column("use").to_pylist()
+            for which in (0, 1, 2):
+                keys, _ = M.keys_of([t for t, x in zip(texts, use, strict=True) if x == which])
                 if len(keys):
                     gram, n = np.unique(keys, return_counts=True)
                     none = np.zeros_like(n)
-                    parts.append([gram, *((none, n) if which else (n, none))])
+                    parts.append([gram, n if which == 0 else none, n if which == 1 else none, n])
             if sum(len(p[0]) for p in parts) > 2_500_000:
                 parts = [merged(parts)]
                 if len(parts[0][0]) > 1_500_000:
@@ -94,77 +99,99 @@ def gram_counts(rows: DataFrame) -> DataFrame:
 
     def out(part: list[np.ndarray]) -> Iterator[dict]:
         for at in range(0, len(part[0]), 200_000):
-            gram, a, b = (x[at : at + 200_000] for x in part)
-            yield {"gram": pa.array(gram.view(np.int64)), "a": pa.array(a), "b": pa.array(b)}
+            gram, a, b, n = (x[at : at + 200_000] for x in part)
+            yield {"gram": pa.array(gram.view(np.int64)), "a": pa.array(a), "b": pa.array(b), "n": pa.array(n)}
 
     return (
-        mapped(rows.select("text", "aside"), work, "gram bigint,a bigint,b bigint")
+        mapped(rows.select("text", "use"), work, "gram bigint,a bigint,b bigint,n bigint")
         .groupBy("gram")
-        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("n").alias("n"))
     )
 
 
-def slot_counts(grams: DataFrame) -> DataFrame:
-    """(slot, z0, o0, z1, o1): zeros and ones after each slot's context, in the table's texts and in all."""
+_FIRST, _SECOND = [[f"{x}{k}" for k in range(M.LOW, len(M.ORDERS))] for x in "fs"]
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 100_000):
-                part = batch.slice(at, 100_000)
-                gram, a, b = (part.column(c).to_numpy() for c in ("gram", "a", "b"))
-                slots, sums = M.node_counts(gram.view(np.uint64), [a, a + b])
-                yield {"slot": pa.array(slots.view(np.int64))} | {
-                    c: pa.array(sums[:, i]) for i, c in enumerate(("z0", "o0", "z1", "o1"))
-                }
-
-    # Contexts that share their last three bytes lie together, so most slots are summed before they move.
-    near = grams.repartition(F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFFFF))).sortWithinPartitions(
-        F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFFFF))
-    )
-    sums = mapped(near, work, "slot bigint,z0 bigint,o0 bigint,z1 bigint,o1 bigint")
-    return sums.groupBy("slot").agg(*(F.sum(c).alias(c) for c in ("z0", "o0", "z1", "o1")))
 
+def low_tables(grams: DataFrame) -> list[list[np.ndarray]]:
+    """The dense logits of the low orders, from the texts for the logits and from all training texts."""
+    last = F.col("gram").bitwiseAND(F.lit((1 << (8 * M.LOW)) - 1)).alias("gram")
+    sums = grams.where("a + b > 0").groupBy(last).agg(F.sum("a").alias("a"), F.sum(F.col("a") + F.col("b")).alias("c"))
+    rows = sums.toArrow()
+    keys = rows.column("gram").to_numpy().astype(np.uint64)
+    return [[M.dense(keys, rows.column(c).to_numpy(), k) for k in range(M.LOW)] for c in ("a", "c")]
 
-def tables(slots: DataFrame, bits: int) -> list[np.ndarray]:
-    """The logits of all slots, from the table's texts and from all: two arrays of 2**bits bytes."""
-    size = (1 << bits) // SEGMENTS
-    fewer = slots.withColumn("slot", F.shiftright("slot", M.MOST_BITS - bits))
-    fewer = fewer.groupBy("slot").agg(*(F.sum(c).alias(c) for c in ("z0", "o0", "z1", "o1")))
-    fewer = fewer.withColumn("segment", F.floor(F.col("slot") / size))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        now, dense = None, None
+def high_logits(grams: DataFrame) -> DataFrame:
+    """(gram, b, n, f…, s…): the eight logits of each higher order as one number, from the texts for them and from all."""
 
-        def out() -> Iterator[dict]:
-            if now is not None:
-                yield {"segment": [now], "first": [dense[0].tobytes()], "second": [dense[1].tobytes()]}
+    def out(gram: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> Iterator[dict]:
+        keys = gram.view(np.uint64)
+        columns = {"gram": gram, "b": b, "n": n}
+        for k, first, second in zip(M.ORDERS[M.LOW :], _FIRST, _SECOND, strict=True):
+            columns[first] = np.where(b > 0, M.path_logits(keys, a, k).view(np.int64)[:, 0], 0)
+            columns[second] = M.path_logits(keys, a + b, k).view(np.int64)[:, 0]
+        for at in range(0, len(gram), BLOCK):
+            yield {c: pa.array(v[at : at + BLOCK]) for c, v in columns.items()}
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        parts: list = []
         for batch in batches:
-            segment = batch.column("segment").to_numpy()
-            slot, z0, o0, z1, o1 = (batch.column(c).to_numpy() for c in ("slot", "z0", "o0", "z1", "o1"))
-            for s in np.unique(segment).tolist():
-                if s != now:
-                    yield from out()
-                    now, dense = s, np.zeros((2, size), np.int8)
-                here = segment == s
-                at = slot[here] - s * size
-                for k, (z, o) in enumerate(((z0, o0), (z1, o1))):
-                    seen = (z[here] + o[here]) > 0
-                    dense[k][at[seen]] = M.logits(z[here][seen], o[here][seen])
-        yield from out()
+            parts.append([batch.column(c).to_numpy() for c in ("gram", "a", "b", "n")])
+            if sum(len(p[0]) for p in parts) >= BLOCK:
+                whole = [np.concatenate(x) for x in zip(*parts, strict=True)]
+                near = (whole[0] >> 8) & 0xFFFFFF
+                cut = int(np.searchsorted(near, near[-1]))
+                if cut:
+                    yield from out(*(x[:cut] for x in whole))
+                parts = [[x[cut:] for x in whole]]
+        if parts:
+            yield from out(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+    # Grams that share the last three bytes of context lie together, and so do all longer contexts.
+    near = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFFFF))
+    ready = grams.repartition(near).sortWithinPartitions(near)
+    names = ",".join(f"{c} bigint" for c in ("gram", "b", "n", *_FIRST, *_SECOND))
+    return mapped(ready, work, names)
+
+
+def _exact(low: list[np.ndarray], columns: list[np.ndarray]) -> M.Exact:
+    high = [np.ascontiguousarray(c).view(np.int8).reshape(-1, 8) for c in columns]
+    return M.Exact(low, np.stack(high, axis=1))
 
-    ready = fewer.repartition("segment").sortWithinPartitions("segment")
-    whole = np.zeros((2, 1 << bits), np.int8)
-    for r in mapped(ready, work, "segment bigint,first binary,second binary").toLocalIterator():
-        at = r["segment"] * size
-        whole[0, at : at + size] = np.frombuffer(r["first"], np.int8)
-        whole[1, at : at + size] = np.frombuffer(r["second"], np.int8)
-    return [whole[0], whole[1]]
 
+def gram_costs(nodes: DataFrame, low: list[np.ndarray], weights: list[np.ndarray]) -> DataFrame:
+    """(gram, n, x, y): what the byte of each 6-gram costs each mixer."""
+    sent = nodes.sparkSession.sparkContext.broadcast((low, weights))
 
-def mixing_weights(grams: DataFrame, table: np.ndarray) -> list[np.ndarray]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            tables, mixers = sent.value
+            gram = batch.column("gram").to_numpy()
+            table = _exact(tables, [batch.column(c).to_numpy() for c in _SECOND])
+            cost = M.cost(table, mixers, gram.view(np.uint64)).astype(np.float64)
+            yield {"gram": batch.column("gram"), "n": batch.column("n"), "x": cost[:, 0], "y": cost[:, 1]}
+
+    return mapped(nodes.select("gram", "n", *_SECOND), work, "gram bigint,n bigint,x double,y double")
+
+
+def frequent_grams(costs: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most `most` 6-grams, sorted, with their costs: all with at least some count."""
+    level = F.floor(8 * F.log2("n"))
+    left, least = most, None
+    for r in sorted(costs.groupBy(level.alias("level")).agg(F.count("*").alias("c")).collect(), reverse=True):
+        left -= r["c"]
+        if left < 0:
+            break
+        least = r["level"]
+    head = costs.where(level >= least if least is not None else F.lit(False)).select("gram", "x", "y").toArrow()
+    gram = head.column("gram").to_numpy().astype(np.uint64)
+    order = np.argsort(gram)
+    return gram[order], np.stack([head.column(c).to_numpy()[order].astype(np.float32) for c in "xy"], axis=1)
+
+
+def mixing_weights(grams: DataFrame, low: list[np.ndarray]) -> list[np.ndarray]:
     """Weights learned online on each shard of the 6-grams set aside, averaged by the bits that each set saw."""
-    sent = grams.sparkSession.sparkContext.broadcast(table)
+    sent = grams.sparkSession.sparkContext.broadcast(low)
     shard = F.pmod(F.xxhash64("gram"), F.lit(SHARDS))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -172,8 +199,8 @@ def mixing_weights(grams: DataFrame, table: np.ndarray) -> list[np.ndarray]:
 
         def out() -> Iterator[dict]:
             if parts:
-                gram, n = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-                weights, seen = M.learn(sent.value, gram.view(np.uint64), n)
+                gram, n, *high = (np.concatenate(x) for x in zip(*parts, strict=True))
+                weights, seen = M.learn(_exact(sent.value, high), gram.view(np.uint64), n)
                 for m, (w, s) in enumerate(zip(weights, seen, strict=True)):
                     hit = np.flatnonzero(s)
                     flat = [(m, int(g), i, float(w[g, i] * s[g]), float(s[g])) for g in hit for i in range(w.shape[1])]
@@ -186,10 +213,10 @@ def mixing_weights(grams: DataFrame, table: np.ndarray) -> list[np.ndarray]:
                     yield from out()
                     now, parts = s, []
                 here = shards == s
-                parts.append((batch.column("gram").to_numpy()[here], batch.column("b").to_numpy()[here]))
+                parts.append([batch.column(c).to_numpy()[here] for c in ("gram", "b", *_FIRST)])
         yield from out()
 
-    rows = grams.where("b > 0").select("gram", "b", shard.alias("shard"), F.xxhash64("gram", F.lit(7)).alias("o"))
+    rows = grams.where("b > 0").select("gram", "b", *_FIRST, shard.alias("shard"), F.xxhash64("gram", F.lit(7)).alias("o"))
     ready = rows.repartition("shard").sortWithinPartitions("shard", "o")
     sums = mapped(ready, work, "mixer int,gate int,input int,sum double,mass double")
     weights = M.fresh_weights()
@@ -211,22 +238,34 @@ def _opened(sent, key: str, build):
 
 
 def _score(batches: Iterator[pa.RecordBatch], model, head) -> Iterator[dict]:
-    scorer = _opened(model, "scorer", lambda v: M.Scorer(*v))
     known = _opened(head, "head", lambda v: dict(zip(v[0], np.log10(v[1] + 1.0).tolist(), strict=True)))
     for batch in slices(batches, "text", 2 << 20):
         texts = bytes_of(batch.column("text"))
-        score = scorer.scores(texts)
+        keys, ends = M.keys_of(texts)
+        grams, costs = model.value
+        at = np.minimum(np.searchsorted(grams, keys), max(0, len(grams) - 1))
+        there = grams[at] == keys if len(grams) else np.zeros(len(keys), bool)
+        each = np.zeros((len(keys), 2))
+        each[there] = costs[at[there]]
+        each = np.add.reduceat(each, np.append(0, ends[:-1]), axis=0)
+        owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))[~there]
+        rest = keys[~there]
+        order = np.lexsort((rest, owner))
+        rest, owner = rest[order], owner[order]
+        cut = np.flatnonzero(np.append(True, (rest[1:] != rest[:-1]) | (owner[1:] != owner[:-1]))) if len(rest) else np.zeros(0, np.int64)
+        times_of = np.diff(np.append(cut, len(rest)))
+        bounds = np.searchsorted(owner[cut], np.arange(len(ends) + 1)).astype(np.int32)
         n, n_known, total, words, times = [], [], [], [], []
         for raw in texts:
             w = raw.lower().split() if raw else []
             logs = [known.get(x) for x in w]
-            rest = Counter(x for x, v in zip(w, logs, strict=True) if v is None)
-            missing = rest.total()
+            others = Counter(x for x, v in zip(w, logs, strict=True) if v is None)
+            missing = others.total()
             n.append(len(w) + 1)
             n_known.append(len(w) - missing)
             total.append(math.fsum(v for v in logs if v is not None))
-            words.append(list(rest.keys()))
-            times.append(list(rest.values()))
+            words.append(list(others.keys()))
+            times.append(list(others.values()))
         flat = [x for w in words for x in w]
         cuts = np.cumsum([0, *map(len, words)]).astype(np.int32)
         yield {
@@ -236,13 +275,16 @@ def _score(batches: Iterator[pa.RecordBatch], model, head) -> Iterator[dict]:
             "n_tokens": n,
             "n_known": n_known,
             "total": total,
-            "score": pa.array(score),
+            "x": each[:, 0],
+            "y": each[:, 1],
+            "grams": pa.ListArray.from_arrays(bounds, pa.array(rest[cut].view(np.int64))),
+            "counts": pa.ListArray.from_arrays(bounds, pa.array(times_of.astype(np.int64))),
             "words": pa.ListArray.from_arrays(cuts, pa.array(flat, pa.binary())),
             "times": pa.ListArray.from_arrays(cuts, pa.array([x for t in times for x in t], pa.int64())),
         }
 
 
-def lm_scores(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
+def lm_scores(docs: DataFrame, held_out: Column | None = None, most_grams: int = GRAMS) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
     part = remainder(F.col("doc_id"), 7)
     held = part == 2 if held_out is None else held_out
@@ -250,7 +292,7 @@ def lm_scores(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         held.alias("held_out"),
-        (part == WEIGHTS_PART).alias("aside"),
+        F.when(~held, F.when(part == WEIGHTS_PART, 1).otherwise(0)).otherwise(2).alias("use"),
     )
     train = rows.where(~F.col("held_out"))
     spark = docs.sparkSession
@@ -265,18 +307,18 @@ def lm_scores(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
         ([bytes(x) for x in frequent["word"]], frequent["c"].to_numpy(np.int64))
     )
 
-    grams = stored(gram_counts(train))
-    bits = min(M.MOST_BITS, max(12, math.ceil(math.log2(4 * grams.count() + 1))))
-    first, second = tables(stored(slot_counts(grams)), bits)
-    weights = mixing_weights(grams, first)
-    model = spark.sparkContext.broadcast((second, weights))
+    grams = stored(gram_counts(rows))
+    first, second = low_tables(grams)
+    nodes = stored(high_logits(grams))
+    costs = stored(gram_costs(nodes, second, mixing_weights(nodes, first)))
+    model = spark.sparkContext.broadcast(frequent_grams(costs, most_grams))
 
     work = partial(_score, model=model, head=head)
     each = stored(
         mapped(
             rows.select("doc_id", "text").withColumn("row", row_key()),
             work,
-            "doc_id bigint,row bigint,n_bytes bigint,n_tokens bigint,n_known bigint,total double,score double,words array<binary>,times array<bigint>",
+            "doc_id bigint,row bigint,n_bytes bigint,n_tokens bigint,n_known bigint,total double,x double,y double,grams array<bigint>,counts array<bigint>,words array<binary>,times array<bigint>",
         )
     )
     rare = (
@@ -286,12 +328,22 @@ def lm_scores(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
         .groupBy("row")
         .agg(F.sum("times").alias("_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("_total"))
     )
+    seldom = (
+        each.select("row", F.explode(F.arrays_zip("grams", "counts")).alias("g"))
+        .select("row", F.col("g.grams").alias("gram"), F.col("g.counts").alias("counts"))
+        .join(costs.select("gram", F.col("x").alias("cx"), F.col("y").alias("cy")), "gram")
+        .groupBy("row")
+        .agg(F.sum(F.col("counts") * F.col("cx")).alias("_x"), F.sum(F.col("counts") * F.col("cy")).alias("_y"))
+    )
+    x, y = (F.col(c) + F.coalesce(f"_{c}", F.lit(0.0)) for c in "xy")
+    # log10 of the mean of the two products.
+    score = (F.log1p(F.exp(-F.abs(x - y))) - F.least(x, y) - math.log(2)) / math.log(10)
     ended = math.log10(ends + 1)
     base = (
         F.col("total") + F.coalesce("_total", F.lit(0.0)) + ended - F.col("n_tokens") * math.log10(tokens + vocabulary + 1)
     )
     again = remainder(F.col("doc_id"), 7) == 2 if held_out is None else held_out
-    return each.join(rare, "row", "left").select(
+    return each.join(rare, "row", "left").join(seldom, "row", "left").withColumn("score", score).select(
         "doc_id",
         again.alias("held_out"),
         "n_tokens",

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from plumbline.llm import context_mixing as M
+from plumbline.llm import lm_scoring as L
 from plumbline.llm.lm_scoring import lm_scores
 
 
@@ -91,3 +92,34 @@ def test_cost_equals_single_steps():
                 p = 1 / (1 + math.exp(-float(x[0].astype(float) @ w[gates[m][0]])))
                 total -= math.log(p if (int(key) >> (7 - bit)) & 1 else 1 - p)
             assert math.isclose(total, got[m], rel_tol=1e-3, abs_tol=1e-3)
+
+
+def test_no_contexts_share_a_place(spark, rows):
+    """Logits of every order against counts in dictionaries, and scores that no bound of a broadcast changes."""
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    uses = df.selectExpr("coalesce(text, '') text", "cast(coalesce(doc_id, 0) % 3 as int) use").collect()
+    grams = L.gram_counts(spark.createDataFrame(uses, "text string, use int")).localCheckpoint()
+    low, _ = L.low_tables(grams)
+    seen = [Counter(), Counter()]
+    for r in uses:
+        for key in M.keys_of([r["text"].encode()])[0].tolist():
+            for k in M.ORDERS:
+                for bit in range(8):
+                    at = (k, key >> 8 & (1 << 8 * k) - 1, (key & 255) >> 8 - bit | 1 << bit)
+                    if r["use"] == 0:
+                        seen[key >> 7 - bit & 1][at] += 1
+    got = L.high_logits(grams).where("b > 0").collect()
+    assert got
+    for r in got:
+        key = np.array([r["gram"]], np.uint64)
+        table = L._exact(low, [np.array([r[c]]) for c in L._FIRST])
+        for bit in range(8):
+            for k, v in enumerate(table.found(key, bit)):
+                at = (k, r["gram"] >> 8 & (1 << 8 * k) - 1, (r["gram"] & 255) >> 8 - bit | 1 << bit)
+                z, o = seen[0][at], seen[1][at]
+                assert v[0] == (M.logits(np.array([z]), np.array([o]))[0] if z + o else 0)
+    key = lambda r: (r["doc_id"] or -1, r["n_tokens"])
+    want = [r["score"] for r in sorted(L.lm_scores(df).collect(), key=key)]
+    for most in (0, 50):
+        joined = [r["score"] for r in sorted(L.lm_scores(df, most_grams=most).collect(), key=key)]
+        assert joined == pytest.approx(want, rel=1e-6)
