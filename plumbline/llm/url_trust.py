@@ -11,7 +11,8 @@ returns to the seeds.  A host is blocked when its distrust exceeds `margin` time
 its trust, and allowed otherwise.
 
 DataFrame functions only.  Links are summed by pair of hosts before they move.
-Ranks are stored each round; two sums come back to the driver.  Verdicts go back
+Ranks are stored each round, until they change by less
+than the tolerance; two sums come back to the driver.  Verdicts go back
 to pages by a lookup that broadcasts the answers of a bounded number of hot hosts.
 
 Defined results: a null url, or one without `://`, has empty host and path, fits
@@ -21,6 +22,7 @@ row is judged.  Without seeds all ranks are 0.  Other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -64,15 +66,20 @@ def host_links(pages: DataFrame) -> DataFrame:
     return to.where("a <> b and a <> '' and b <> ''").groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
-def spread(seeds: DataFrame, links: DataFrame, damping: float, rounds: int, tolerance: float) -> DataFrame:
-    """(kind, host, rank) from seeds (kind, host, seed), which sum to 1 in each kind, over links (kind, a, b, n)."""
+def spread(seeds: DataFrame, links: DataFrame, damping: float, rounds: int | None, tolerance: float) -> DataFrame:
+    """(kind, host, rank) from seeds (kind, host, seed), which sum to 1 in each kind, over links (kind, a, b, n).
+
+    A round shrinks the change of a kind, at most 2 at first, by the damping, so without
+    `rounds` the tolerance is reached after a number of rounds that is known before.
+    """
+    most = rounds if rounds is not None else 2 + math.ceil(math.log(tolerance / 4) / math.log(damping))
     out = links.groupBy("kind", "a").agg(F.sum("n").alias("out"))
     edges = stored(
         links.join(out, ["kind", "a"]).select("kind", F.col("a").alias("host"), "b", (F.col("n") / F.col("out")).alias("p"))
     )
     seeds = stored(seeds)
     ranks = seeds.select("kind", "host", F.col("seed").alias("rank"))
-    for _ in range(rounds):
+    for _ in range(most):
         flow = stored(
             ranks.join(edges, ["kind", "host"])
             .groupBy("kind", F.col("b").alias("host"))
@@ -97,6 +104,9 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float, rounds: int, tole
         ranks = new
         if (change or 0.0) < tolerance:
             break
+    else:
+        if rounds is None:
+            raise RuntimeError(f"ranks did not settle in {most} rounds")
     return ranks
 
 
@@ -104,7 +114,7 @@ def judged(
     pages: DataFrame,
     rules: Sequence[Rule],
     damping: float = 0.85,
-    rounds: int = 30,
+    rounds: int | None = None,
     tolerance: float = 1e-6,
     margin: float = 1.0,
 ) -> DataFrame:

@@ -123,3 +123,14 @@ def test_judged_equals_brute_force(spark):
 def test_links(spark):
     df = spark.createDataFrame([("http://a.com/", '<A HREF=http://b.com/x> <a href="//C.com"> <a data-href="http://d.com"> <a href="/e">')], "url string, html string")
     assert {(r["a"], r["b"], r["n"]) for r in host_links(df).collect()} == {("a.com", "b.com", 1), ("a.com", "c.com", 1)}
+
+
+def test_distrust_reaches_far_hosts(spark):
+    """A host 31 links from a blocked one is blocked; a smaller damping than the registered one keeps the rounds few."""
+    names = [f"h{i}.org" for i in range(31)] + ["bad.com"]
+    pages = [(i, f"http://{a}/", f'<a href="http://{b}/">') for i, (a, b) in enumerate(zip(names, names[1:], strict=False))]
+    df = spark.createDataFrame([*pages, (99, "http://bad.com/", "")], "page_id bigint, url string, html string").coalesce(1)
+    got = {r["host"]: r for r in judged(df, RULES, damping=0.4, tolerance=1e-13).collect()}
+    assert {r["verdict"] for r in got.values()} == {"block"}
+    rank = ranks([*pages, (99, "http://bad.com/", "")], RULES, rounds=300, d=0.4)[2]["block"]
+    assert all(got[h]["distrust"] == pytest.approx(rank[h], rel=1e-2, abs=1e-13) for h in names)
