@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.chat_rotation import rotated
+from plumbline.llm.collocations import collocations
 from plumbline.llm.common import table
 from plumbline.llm.decontamination import contaminated
 from plumbline.llm.exact_dedup import exact_groups
@@ -147,3 +148,42 @@ ORACLE["op9_exact_dedup"] = r"""
           FROM documents)
     WINDOW g AS (PARTITION BY body)
 """
+
+
+@registered
+def op13_collocations(spark, sf_dir):
+    """The phrases of every language whose words stand together more often than chance."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_collocations"] = r"""
+    WITH t AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM t),
+    g AS (SELECT lang, k, words[i:i + k - 1] AS phrase
+          FROM (SELECT lang, words, k, unnest(generate_series(1, len(words) - k + 1)) AS i
+                FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k))),
+    totals AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang),
+    f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+    cuts AS (SELECT lang, k, phrase, f AS a, unnest(generate_series(1, k - 1)) AS cut FROM f WHERE k > 1),
+    scores AS (
+        SELECT c.lang, c.k, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, n,
+               (1000 * c.a::HUGEINT * n::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+        FROM cuts c JOIN totals USING (lang)
+        JOIN f x ON x.lang = c.lang AND x.phrase = c.phrase[1:cut]
+        JOIN f y ON y.lang = c.lang AND y.phrase = c.phrase[cut + 1:]),
+    best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    part AS (
+        SELECT lang, phrase[i:i + s - 1] AS phrase, max(f) AS longer
+        FROM (SELECT lang, phrase, f, s, unnest(generate_series(1, k - s + 1)) AS i
+              FROM (SELECT lang, phrase, k, f, unnest(generate_series(2, k - 1)) AS s FROM f WHERE k > 2))
+        GROUP BY ALL)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank,
+           array_to_string(phrase, ' ') AS phrase, a, l, r, n, score::BIGINT AS score
+    FROM best LEFT JOIN part USING (lang, phrase)
+    WHERE longer IS NULL OR 100 * longer < 100 * a
+    QUALIFY rank <= 2000
+"""
