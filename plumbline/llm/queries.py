@@ -12,6 +12,7 @@ from plumbline.llm.collocations import collocations
 from plumbline.llm.common import table
 from plumbline.llm.decontamination import contaminated
 from plumbline.llm.exact_dedup import exact_groups
+from plumbline.llm.hard_negatives import hard_negatives
 from plumbline.llm.lm_scoring import lm_scores
 from plumbline.llm.ngram_join import near_groups
 from plumbline.llm.packing import pack_documents
@@ -187,3 +188,31 @@ ORACLE["op13_collocations"] = r"""
     WHERE longer IS NULL OR 100 * longer < 100 * a
     QUALIFY rank <= 2000
 """
+
+
+@registered
+def op11_hard_negatives(spark, sf_dir):
+    """Rows of other labels that lie nearly as close to an anchor as its positives."""
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op11_hard_negatives"] = """
+    WITH e AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+               list_inner_product(a.v, b.v)::BIGINT AS score
+        FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+    p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+    SELECT anchor_id, positive_id, row_number() OVER w AS rank, other AS negative_id, positive_score,
+           score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+    WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+    QUALIFY rank <= 3
+"""
