@@ -1,11 +1,15 @@
 """Phrases whose words stand together more often than chance, by counts in burstable tries.
 
-Words are counted first.  Then phrases of 2 to 5 words, one length after another:
-every task counts its phrases in a trie of word ids (`hat_trie`), which spills whole
-subtrees as sorted runs; runs are dealt out by prefix, the first two words, and
-merged there.  A phrase can be frequent only if both phrases of one word less in it
-are, so a length counts just such places.  Which phrases are frequent is told to
-the tasks by a table of bits of fixed size: a false bit costs counting, no result.
+Phrases of 1 to 5 words are counted, one length after another: every task counts its
+phrases in a trie of word ids (`hat_trie`), which spills whole subtrees as sorted
+runs; runs are dealt out by prefix, the first two words, and merged there.
+
+Most phrases are too rare to matter, and two things keep them out of the tries.  A
+phrase can be frequent only if both phrases of one word less in it are.  And the
+phrases that are left are counted by a 32-bit cell of their hash first, as sorted
+packed cells: a phrase whose cell holds less than `least` is rare.  What may be
+frequent is told to the tasks by a table of bits of fixed size; a false bit costs
+counting, no result, as the tries count by the words themselves.
 
 Per language n is the number of all words and f(phrase) that of its occurrences
 within pieces, overlaps included.  A candidate has a = f >= `least`.  Each cut
@@ -23,7 +27,9 @@ are not read.  Words are told apart by 64-bit hashes within a language.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +44,9 @@ from plumbline.llm.shingles import bytes_of, mix, powers
 _U = np.uint64
 #: Bits of the table that tells tasks what is frequent: 16 MB.
 FILTER_BITS = 1 << 27
+#: Cells are 32 bits wide and counted in so many parts.
+PART_BITS = 8
+PARTS = 1 << PART_BITS
 #: Copies of a language's total, so that its rows don't meet in one task.
 COPIES = 32
 
@@ -49,8 +58,20 @@ _BLANK[[0x20, 0x09]] = True
 _PIECE_END = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _BYTE = np.random.default_rng(20250613).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 
-_RUNS = "lang string,prefix bigint,phrase binary,n bigint,word binary"
-_LEVEL = "lang string,phrase binary,f bigint,bit bigint,word binary"
+
+
+class Room(NamedTuple):
+    """Entries of a container and of a trie, cells of a task, bytes of text at a time."""
+
+    burst: int = 4096
+    entries: int = 1_000_000
+    cells: int = 4_000_000
+    text: int = 2 << 20
+
+
+_RUNS = "lang string,prefix bigint,phrase binary,n bigint"
+_LEVEL = "lang string,phrase binary,f bigint,bit bigint"
+_CELLS = "part int,lang string,cells binary,counts binary,n bigint"
 
 
 # Words --------------------------------------------------------------------------
@@ -90,7 +111,7 @@ def by_language(batch: pa.RecordBatch, column: str) -> Iterator[tuple[str, list[
     yield from groups.items()
 
 
-def in_parts(texts: list[bytes | None], most: int = 2 << 20) -> Iterator[list[bytes]]:
+def in_parts(texts: list[bytes | None], most: int) -> Iterator[list[bytes]]:
     """The texts in lists of about `most` bytes; a longer text is cut where one of its pieces ends."""
     now, size = [], 0
     for x in texts:
@@ -135,73 +156,48 @@ def prefix_of(lang: str, phrase: bytes) -> int:
     return xxhash.xxh3_64_intdigest(phrase[: 2 * WIDTH], seed_of(lang)) - (1 << 63)
 
 
-def runs_out(entries: Iterator[tuple[str, bytes, int]], words: dict[tuple[str, bytes], bytes] | None = None) -> Iterator[dict]:
+def runs_out(entries: Iterator[tuple[str, bytes, int]]) -> Iterator[dict]:
+    names = ("lang", "prefix", "phrase", "n")
     rows: list[tuple] = []
     for lang, phrase, n in entries:
-        rows.append((lang, prefix_of(lang, phrase), phrase, n, words.get((lang, phrase)) if words is not None else None))
+        rows.append((lang, prefix_of(lang, phrase), phrase, n))
         if len(rows) >= 50_000:
-            yield dict(zip(("lang", "prefix", "phrase", "n", "word"), zip(*rows, strict=True), strict=True))
+            yield dict(zip(names, zip(*rows, strict=True), strict=True))
             rows = []
     if rows:
-        yield dict(zip(("lang", "prefix", "phrase", "n", "word"), zip(*rows, strict=True), strict=True))
+        yield dict(zip(names, zip(*rows, strict=True), strict=True))
 
 
-def word_runs(docs: DataFrame) -> DataFrame:
-    """Runs of single words."""
+def windows(ids: np.ndarray, size: int) -> np.ndarray:
+    return np.lib.stride_tricks.sliding_window_view(ids, size)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        trie, texts_of = HatTrie(most=500_000), {}
-        for batch in slices(batches, "text", 2 << 20):
-            for lang, texts in ((x, part) for x, every in by_language(batch, "text") for part in in_parts(every)):
-                ids, _, starts, ends, raw = words_of(texts, seed_of(lang))
-                unique, where, counts = np.unique(ids, return_index=True, return_counts=True)
-                keys = unique.astype(">u8").tobytes()
-                for i, (a, b, n) in enumerate(zip(starts[where].tolist(), ends[where].tolist(), counts.tolist(), strict=True)):
-                    key = keys[WIDTH * i : WIDTH * (i + 1)]
-                    if (lang, key) not in texts_of:
-                        texts_of[lang, key] = raw[a:b]
-                    trie.add(lang, key, (b"",), (n,))
-            if trie.total > trie.most:
-                yield from runs_out(trie.rest(), texts_of)
-                texts_of = {}
-        yield from runs_out(trie.rest(), texts_of)
-
-    return mapped(docs, work, _RUNS)
-
-
-def phrase_runs(tokens: DataFrame, size: int, bits: np.ndarray) -> DataFrame:
-    """Runs of the phrases of `size` words both of whose parts of one word less are marked."""
+
+def phrase_runs(tokens: DataFrame, size: int, bits: np.ndarray, room: Room) -> DataFrame:
+    """Runs of the phrases of `size` words whose bit is set."""
     sent = tokens.sparkSession.sparkContext.broadcast(bits)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        trie = HatTrie()
+        trie = HatTrie(room.burst, room.entries)
+        step = WIDTH * (size - 1)
         for batch in slices(batches, "ids", 4 << 20):
             for lang, rows in by_language(batch, "ids"):
                 ids = np.frombuffer((b"\0" * WIDTH).join(rows), _U)
-                seed = seed_of(lang)
-                whole = phrase_hashes(ids, size - 1, seed)
-                good = marked(sent.value, whole) & (ids[: len(whole)] != 0) if size > 2 else ids != 0
-                here = np.flatnonzero(good[:-1] & good[1:])
-                if size > 2 and len(here):
-                    both = np.lib.stride_tricks.sliding_window_view(ids, size)[here]
-                    here = here[(both != 0).all(axis=1)]
+                hashes = phrase_hashes(ids, size, seed_of(lang))
+                here = np.flatnonzero(marked(sent.value, hashes))
+                here = here[(windows(ids, size)[here] != 0).all(axis=1)] if len(here) else here
                 if not len(here):
                     continue
-                hashes = phrase_hashes(ids, size, seed)[here]
-                _, where, counts = np.unique(hashes, return_index=True, return_counts=True)
+                _, where, counts = np.unique(hashes[here], return_index=True, return_counts=True)
                 where = here[where]
                 order = np.argsort(ids[where], kind="stable")
-                where, counts = where[order], counts[order]
+                where, counts = where[order], counts[order].tolist()
                 firsts = ids[where]
-                rests = np.lib.stride_tricks.sliding_window_view(ids, size)[where][:, 1:].astype(">u8").tobytes()
-                step = WIDTH * (size - 1)
+                rests = windows(ids, size)[where][:, 1:].astype(">u8").tobytes()
                 cuts = np.flatnonzero(np.append(True, firsts[1:] != firsts[:-1])).tolist() + [len(firsts)]
                 heads = firsts.astype(">u8").tobytes()
-                counted = counts.tolist()
                 for a, b in zip(cuts, cuts[1:], strict=False):
-                    trie.add(
-                        lang, heads[WIDTH * a : WIDTH * (a + 1)], [rests[step * i : step * (i + 1)] for i in range(a, b)], counted[a:b]
-                    )
+                    rest = [rests[step * i : step * (i + 1)] for i in range(a, b)]
+                    trie.add(lang, heads[WIDTH * a : WIDTH * (a + 1)], rest, counts[a:b])
             yield from runs_out(trie.overflow())
         yield from runs_out(trie.rest())
 
@@ -212,7 +208,7 @@ def merged(runs: DataFrame, size: int, least: int) -> DataFrame:
     """Phrases of `least` occurrences or more: a stream over the runs of each prefix partition."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        key, total, word = None, 0, None
+        key, total = None, 0
         rows: list[tuple] = []
 
         def out() -> dict:
@@ -225,33 +221,30 @@ def merged(runs: DataFrame, size: int, least: int) -> DataFrame:
                 for k in range(size):
                     hashes = mix((hashes ^ ids[own, k]) * _U(0x9E3779B97F4A7C15) + _U(k + 1))
                 place[own] = (hashes & _U(FILTER_BITS - 1)).astype(np.int64)
-            return {
-                "lang": langs, "phrase": [r[1] for r in rows], "f": [r[2] for r in rows], "bit": pa.array(place),
-                "word": [r[3] for r in rows],
-            }
+            return {"lang": langs, "phrase": [r[1] for r in rows], "f": [r[2] for r in rows], "bit": pa.array(place)}
 
         for batch in batches:
-            for lang, phrase, n, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase", "n", "word")), strict=True):
+            for lang, phrase, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase", "n")), strict=True):
                 if (lang, phrase) == key:
                     total += n
                 else:
                     if key is not None and total >= least:
-                        rows.append((*key, total, word))
-                    key, total, word = (lang, phrase), n, text
+                        rows.append((*key, total))
+                    key, total = (lang, phrase), n
             if len(rows) >= 20_000:
                 yield out()
                 rows.clear()
         if key is not None and total >= least:
-            rows.append((*key, total, word))
+            rows.append((*key, total))
         if rows:
             yield out()
 
     dealt = runs.repartition("prefix").sortWithinPartitions("lang", "phrase")
-    return mapped(dealt.select("lang", "phrase", "n", "word"), work, _LEVEL)
+    return mapped(dealt.select("lang", "phrase", "n"), work, _LEVEL)
 
 
 def filter_of(level: DataFrame) -> np.ndarray:
-    """The table of bits of a level's phrases; its size is fixed."""
+    """The table of bits that a column `bit` names; its size is fixed."""
     cells = level.select(
         F.shiftright("bit", 6).alias("cell"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("one")
     ).groupBy("cell").agg(F.bit_or("one").alias("one"))
@@ -261,24 +254,154 @@ def filter_of(level: DataFrame) -> np.ndarray:
     return bits
 
 
-def tokens_of(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(lang, ids) per text: ids of frequent words; 0 for others and between pieces."""
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
+# What may be frequent ---------------------------------------------------------------
+
+
+def folded(pieces: list[tuple[np.ndarray, np.ndarray]], most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """One piece with each cell once, its counts summed up to `most`: that many or more."""
+    if len(pieces) < 2:
+        return pieces
+    cells, counts = (np.concatenate(x) for x in zip(*pieces, strict=True))
+    order = np.argsort(cells, kind="stable")
+    cells, counts = cells[order], counts[order]
+    first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+    return [(cells[first], np.minimum(np.add.reduceat(counts, first), most))]
+
+
+class Cells:
+    """Counts of 32-bit cells in a task, given out in parts: sorted cells as differences, byte planes apart.
+
+    255 stands for that many or more, which is beyond any use of the sums.
+    """
+
+    def __init__(self, most: int = 4_000_000):
+        self.most, self.size, self.pieces = most, 0, []
+
+    def add(self, hashes: np.ndarray) -> None:
+        cells, counts = np.unique((hashes & _U(0xFFFFFFFF)).astype(np.uint32), return_counts=True)
+        self.pieces.append((cells, np.minimum(counts, 255)))
+        self.size += len(cells)
+        if self.size > 2 * self.most:
+            self._fold()
+
+    def _fold(self) -> None:
+        self.pieces = folded(self.pieces, 255)
+        self.size = sum(len(x) for x, _ in self.pieces)
+
+    def out(self, last: bool = False) -> Iterator[dict]:
+        if not last and self.size <= self.most:
+            return
+        self._fold()
+        if self.pieces and (last or self.size > self.most):
+            cells, counts = self.pieces[0]
+            cuts = np.searchsorted(cells, np.arange(PARTS + 1, dtype=np.uint64) << _U(32 - PART_BITS)).tolist()
+            parts = [(p, a, b) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+            for p, a, b in parts:
+                own = cells[a:b]
+                apart = np.diff(own, prepend=np.uint32(p << (32 - PART_BITS)))  # from where the part begins
+                planes = np.ascontiguousarray(apart.view(np.uint8).reshape(-1, 4).T)
+                yield {
+                    "part": [p], "lang": [None], "cells": [planes.tobytes()],
+                    "counts": [counts[a:b].astype(np.uint8).tobytes()], "n": [None],
+                }
+            self.pieces, self.size = [], 0
+
+
+def often(cells: DataFrame, least: int) -> DataFrame:
+    """(bit) of the cells that hold `least` or more, at most 255: one part at a time, at most 2**24 cells held."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in slices(batches, "text", 2 << 20):
-            for lang, texts in ((x, part) for x, every in by_language(batch, "text") for part in in_parts(every)):
-                ids, opens, *_ = words_of(texts, seed_of(lang))
+        now, pieces, size = None, [], 0
+
+        def close() -> Iterator[dict]:
+            for own, counts in folded(pieces, 1 << 40):
+                full = own[counts >= least]
+                if len(full):
+                    yield {"bit": pa.array(np.unique(full & (FILTER_BITS - 1)))}
+
+        for batch in batches:
+            for part, planes, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "cells", "counts")), strict=True):
+                if part != now:
+                    yield from close()
+                    now, pieces, size = part, [], 0
+                apart = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.uint32)[:, 0]
+                own = np.cumsum(apart, dtype=np.int64) + (part << (32 - PART_BITS))
+                pieces.append((own, np.frombuffer(counts, np.uint8).astype(np.int64)))
+                size += len(own)
+                if size > 1 << 25:
+                    pieces = folded(pieces, 1 << 40)
+                    size = len(pieces[0][0])
+        yield from close()
+
+    return mapped(cells.repartition("part").sortWithinPartitions("part"), work, "bit bigint")
+
+
+def word_cells(texts: DataFrame, room: Room) -> DataFrame:
+    """Cells of all words, and the number of words of each language (part -1)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        cells, totals = Cells(room.cells), Counter()
+        for batch in slices(batches, "text", room.text):
+            for lang, part in ((x, part) for x, every in by_language(batch, "text") for part in in_parts(every, room.text)):
+                ids, *_ = words_of(part, seed_of(lang))
+                totals[lang] += len(ids)
+                cells.add(phrase_hashes(ids, 1, seed_of(lang)))
+            yield from cells.out()
+        yield from cells.out(last=True)
+        if totals:
+            none = [None] * len(totals)
+            yield {"part": [-1] * len(totals), "lang": list(totals), "cells": none, "counts": none, "n": list(totals.values())}
+
+    return mapped(texts, work, _CELLS)
+
+
+def phrase_cells(tokens: DataFrame, size: int, bits: np.ndarray, room: Room) -> DataFrame:
+    """Cells of the phrases of `size` words both of whose parts of one word less are marked."""
+    sent = tokens.sparkSession.sparkContext.broadcast(bits)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        cells = Cells(room.cells)
+        for batch in slices(batches, "ids", 4 << 20):
+            for lang, rows in by_language(batch, "ids"):
+                ids = np.frombuffer((b"\0" * WIDTH).join(rows), _U)
+                good = marked(sent.value, phrase_hashes(ids, size - 1, seed_of(lang)))
+                here = good[:-1] & good[1:]
+                for k in range(size):
+                    here &= ids[k : k + len(here)] != 0
+                cells.add(phrase_hashes(ids, size, seed_of(lang))[here])
+            yield from cells.out()
+        yield from cells.out(last=True)
+
+    return mapped(tokens, work, _CELLS)
+
+
+def tokens_of(texts: DataFrame, bits: np.ndarray, room: Room) -> DataFrame:
+    """(lang, ids, new, words): ids of marked words, 0 for others and between pieces; words that a task meets first."""
+    sent = texts.sparkSession.sparkContext.broadcast(bits)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        known: dict[str, np.ndarray] = {}
+        for batch in slices(batches, "text", room.text):
+            for lang, part in ((x, part) for x, every in by_language(batch, "text") for part in in_parts(every, room.text)):
+                ids, opens, starts, ends, raw = words_of(part, seed_of(lang))
                 if not len(ids):
                     continue
                 ids = np.where(marked(sent.value, phrase_hashes(ids, 1, seed_of(lang))), ids, _U(0))
+                unique, where = np.unique(ids, return_index=True)
+                old = known.get(lang, np.zeros(1, _U))
+                fresh = ~np.isin(unique, old, assume_unique=True)
+                known[lang] = np.union1d(old, unique[fresh])
+                at = where[fresh]
                 # A 0 before each piece; runs of zeros say no more than one.
                 out = np.insert(ids, np.flatnonzero(opens), _U(0))
                 keep = out != 0
                 keep[1:] |= out[:-1] != 0
-                yield {"lang": [lang], "ids": [out[keep].tobytes()]}
+                yield {
+                    "lang": [lang], "ids": [out[keep].tobytes()], "new": [unique[fresh].astype(">u8").tobytes()],
+                    "words": [[raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]],
+                }
 
-    return mapped(docs, work, "lang string,ids binary")
+    return mapped(texts, work, "lang string,ids binary,new binary,words array<binary>")
 
 
 # Scores -----------------------------------------------------------------------------
@@ -324,20 +447,32 @@ def inside_longer(candidates: DataFrame) -> DataFrame:
     return parts.select("lang", inner.alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
 
 
-def collocations(docs: DataFrame, longest: int = 5, least: int = 100, share: int = 100, most: int = 2000) -> DataFrame:
+def collocations(
+    docs: DataFrame, longest: int = 5, least: int = 100, share: int = 100, most: int = 2000, room: Room = Room()
+) -> DataFrame:
     """Per language its first `most` phrases: lang, rank, phrase, a, l, r, n, score."""
     texts = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    words = stored(word_runs(texts))
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    levels = [stored(merged(words, 1, least))]
-    bits = filter_of(levels[0])
-    tokens = stored(tokens_of(texts, bits))
-    for size in range(2, longest + 1):
-        levels.append(stored(merged(phrase_runs(tokens, size, bits), size, least)))
+    if not 0 < least < 256:
+        raise ValueError("least must lie between 1 and 255")
+    cells = stored(word_cells(texts, room))
+    totals = cells.where("part < 0").groupBy("lang").agg(F.sum("n").alias("n"))
+    bits = filter_of(often(cells.where("part >= 0"), least))
+    words = stored(tokens_of(texts, bits, room))
+    tokens, levels = words.select("lang", "ids"), []
+    for size in range(1, longest + 1):
+        if size > 1:
+            bits = filter_of(often(phrase_cells(tokens, size, bits, room), least))
+        levels.append(stored(merged(phrase_runs(tokens, size, bits, room), size, least)))
         bits = filter_of(levels[-1]) if size < longest else bits
+    spelling = (
+        words.select("lang", "new", F.posexplode("words").alias("i", "word"))
+        .select("lang", F.expr(f"substring(new, {WIDTH} * i + 1, {WIDTH})").alias("id"), "word")
+        .groupBy("lang", "id")
+        .agg(F.first("word").cast("string").alias("word"))
+    )
 
     every = stored(scored(levels, totals))
     kept = every.join(inside_longer(every), ["lang", "phrase"], "left").where(
@@ -351,9 +486,7 @@ def collocations(docs: DataFrame, longest: int = 5, least: int = 100, share: int
         front = front.withColumn("place", F.rank().over(by_score)).where(F.col("place") <= most)
     front = front.drop("place", "part")
     ids = F.expr(f"transform(sequence(0, cast(length(phrase) / {WIDTH} as int) - 1), i -> substring(phrase, {WIDTH} * i + 1, {WIDTH}))")
-    named = front.select("*", F.posexplode(ids).alias("i", "id")).join(
-        levels[0].select("lang", F.col("phrase").alias("id"), F.col("word").cast("string").alias("word")), ["lang", "id"]
-    )
+    named = front.select("*", F.posexplode(ids).alias("i", "id")).join(spelling, ["lang", "id"])
     spelled = named.groupBy("lang", "phrase", "a", "l", "r", "n", "score").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]), " ").alias("spelled")
     )

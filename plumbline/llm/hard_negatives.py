@@ -183,6 +183,7 @@ class Portion:
         self.ids, self.labels, self.vectors = anchors["vec_id"], anchors["label"], anchors["vectors"]
         self.sizes = lengths(self.vectors)
         self.slots, self.same_label, self.want = slots, same_label, want
+        self.block, self.step = BLOCK, STEP
         self.clusters = []
         slot_order = np.argsort(slots.member, kind="stable")
         first = np.searchsorted(slots.member[slot_order], np.arange(len(self.ids) + 1))
@@ -201,7 +202,7 @@ class Portion:
             reach = size * np.cos(np.clip(angle - widest - 1e-6, 0, math.pi)) + 1e-7 * size
             order = np.argsort(-reach, kind="stable")
             reach = reach[order]
-            at, step = 0, STEP
+            at, step = 0, self.step
             active = own
             while at < len(order):
                 longest = self.sizes[self.slots.member[active]]
@@ -246,7 +247,7 @@ def searched(rows: DataFrame, portion: Portion) -> DataFrame:
             ids += batch.column("vec_id").to_pylist()
             labels += batch.column("label").to_pylist()
             vectors += batch.column("vec").to_pylist()
-            if len(ids) >= BLOCK:
+            if len(ids) >= look.block:
                 close()
                 ids, labels, vectors = [], [], []
         if ids:

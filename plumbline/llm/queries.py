@@ -16,6 +16,7 @@ from plumbline.llm.hard_negatives import hard_negatives
 from plumbline.llm.lm_scoring import lm_scores
 from plumbline.llm.ngram_join import near_groups
 from plumbline.llm.packing import pack_documents
+from plumbline.llm.repeated_spans import without_repeats
 from plumbline.llm.token_counts import token_counts
 from plumbline.llm.toxicity import toxicity
 from plumbline.llm.url_trust import judged
@@ -216,3 +217,9 @@ ORACLE["op11_hard_negatives"] = """
     WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
     QUALIFY rank <= 3
 """
+
+
+@registered
+def op12_repeated_spans(spark, sf_dir):
+    """What is left of every document without the strings of 200 bytes that stand more than once."""
+    return without_repeats(table(spark, sf_dir, "documents"), 200).drop("kept")

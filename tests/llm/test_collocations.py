@@ -61,7 +61,7 @@ def corpus(seed, n):
 
 
 @pytest.mark.parametrize(("seed", "least", "most"), [(1, 4, 2000), (2, 12, 7)])
-def test_equals_brute_force(spark, monkeypatch, seed, least, most):
+def test_equals_brute_force(spark, seed, least, most):
     docs = corpus(seed, 150) + [("en", None), ("en", ""), ("en", " \t"), (None, ".,;"), ("fr", "one two")]
     df = spark.createDataFrame(docs, "lang string, text string").selectExpr("*", "lang phrase", "text word", "lang n", "0 f", "1 bit")
     got = rows(C.collocations(df, 5, least, 100, most))
@@ -69,13 +69,11 @@ def test_equals_brute_force(spark, monkeypatch, seed, least, most):
     assert set(got) == brute(docs, 5, least, 100, most)
 
 
-def test_runs_of_a_small_trie_merge_to_the_same(spark, monkeypatch):
+def test_runs_of_a_small_trie_merge_to_the_same(spark):
     """Tries that burst and spill all the time, and texts cut into small parts."""
     docs = corpus(3, 80)
-    monkeypatch.setattr(C, "HatTrie", lambda most=0: HatTrie(burst=2, most=20))
-    whole = C.in_parts
-    monkeypatch.setattr(C, "in_parts", lambda texts: whole(texts, 50))
-    assert set(rows(C.collocations(spark.createDataFrame(docs, "lang string, text string"), 5, 5))) == brute(docs, 5, 5, 100, 2000)
+    df = spark.createDataFrame(docs, "lang string, text string")
+    assert set(rows(C.collocations(df, 5, 5, room=C.Room(2, 20, 30, 50)))) == brute(docs, 5, 5, 100, 2000)
 
 
 def test_empty_table_and_one_huge_word(spark):
