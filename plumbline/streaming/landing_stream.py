@@ -25,7 +25,10 @@ def load_new_files(load: ControlledLoad, path: str, checkpoint: str, glob: str =
     )
 
     def load_batch(batch: DataFrame, _: int) -> None:
-        load.load_files(batch)
+        # The names alone come here; Spark reads the files by blocks.
+        paths = [r["path"] for r in batch.select("path").collect()]
+        if paths:
+            load.load(paths)
 
     return (
         files.writeStream.foreachBatch(load_batch)

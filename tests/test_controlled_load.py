@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.plans.controlled_load import MASTER, ControlledLoad, LandingError
-from plumbline.sources import landing
 from plumbline.sources.store import StateStore
 from plumbline.streaming.landing_stream import load_new_files
 
@@ -129,24 +128,33 @@ def test_gates(spark, tmp_path, monkeypatch):
         strict.load(bad)
 
 
-def test_a_file_that_changes_meanwhile_fails_its_run(spark, tmp_path, monkeypatch):
+def test_a_file_that_changes_meanwhile_loads_what_was_fingerprinted(spark, tmp_path, monkeypatch):
     load = make(spark, tmp_path)
     path = land(tmp_path / "landing", "1.csv", "03-Jan-2023,0.6828,0.6397\n")
     process = ControlledLoad._process
 
-    def changed(self, files, work):
+    def changed(self, *args):
         land(tmp_path / "landing", "1.csv", "03-Jan-2023,9.6828,0.6397\n")
-        process(self, self._files_again(path), work)
+        process(self, *args)
 
-    def again(self, path):
-        files = landing.with_fingerprint(landing.read_landing(self.spark, path))
-        return files.select("path", "content", F.lit(self.origin).alias("source"), "source_fingerprint", F.col("path").alias("source_url"))
-
-    monkeypatch.setattr(ControlledLoad, "_files_again", again, raising=False)
     monkeypatch.setattr(ControlledLoad, "_process", changed)
-    with pytest.raises(Exception, match="changed while it was loaded"):
-        load.load(path)
-    assert load.master().isEmpty()
+    load.load(path)
+    assert rates(load)[("2023-01-03", "FXRUSD")] == Decimal("0.6828")
+    monkeypatch.undo()
+    assert [r.outcome for r in load.load(path).collect()] == ["PROCESSED"]
+    assert rates(load)[("2023-01-03", "FXRUSD")] == Decimal("9.6828")
+    assert load.registry().count() == 2
+
+
+def test_an_unclosed_quote_rejects_its_file_alone(spark, tmp_path):
+    load, folder = make(spark, tmp_path), tmp_path / "landing"
+    load.max_record = 200
+    land(folder, "bad.csv", '03-Jan-2023,"0.6828,0.6397\n' + "04-Jan-2023,1,2\n" * 30)
+    path = land(folder, "good.csv", "03-Jan-2023,0.6828,0.6397\n")
+    outcomes = {r.source_fingerprint: r.outcome for r in load.load(path).collect()}
+    assert sorted(outcomes.values()) == ["PROCESSED", "REJECTED"]
+    assert [r.error_code for r in load.table("structural_exceptions").collect()] == ["RECORD_TOO_LARGE"]
+    assert len(rates(load)) == 2 and load.table("bronze").count() == (3 + 31) + (3 + 1)
 
 
 def test_other_origin_gives_a_second_run_with_nothing_new(spark, tmp_path):
