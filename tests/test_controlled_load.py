@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from plumbline.operators import classify as C
 from plumbline.plans.controlled_load import MASTER, ControlledLoad, LandingError
 from plumbline.sources.store import StateStore
 from plumbline.streaming.landing_stream import load_new_files
@@ -187,3 +188,35 @@ def test_store_ignores_incomplete_snapshots(spark, tmp_path):
     (tmp_path / "state" / "master" / "v=2").mkdir()
     assert store.read("master", MASTER).isEmpty()
     assert store.publish("master", store.read("master", MASTER)) == 3
+
+
+def test_a_load_opens_its_own_folders_and_periods_only(spark, tmp_path, monkeypatch):
+    load, folder = make(spark, tmp_path), tmp_path / "landing"
+    load.load(land(folder, "1.csv", "03-Jan-2021,0.6828,0.6397\n03-Jan-2022,0.7,0.6\n"))
+    seen = {}
+    read, current = StateStore.read_runs, StateStore.current
+
+    def read_runs(self, name, schema, loads=None):
+        out = read(self, name, schema, loads)
+        seen.setdefault(name, set()).update(out.inputFiles())
+        return out
+
+    def of_periods(self, name, schema, keys=C.MASTER_KEY, periods=None):
+        out = current(self, name, schema, keys, periods)
+        seen["plan"] = out._jdf.queryExecution().executedPlan().toString()
+        seen["periods"] = periods
+        return out
+
+    monkeypatch.setattr(StateStore, "read_runs", read_runs)
+    monkeypatch.setattr(StateStore, "current", of_periods)
+    load.load(land(folder, "2.csv", "04-Jan-2022,0.69,0.64\n03-Jan-2022,0.71,0.6\n"))
+    assert seen["periods"] == (2022, 2022)
+    assert "PartitionFilters: [isnotnull(period" in seen["plan"]
+    for name in ("staging", "validated", "exceptions"):
+        assert all("load_id=2/" in f for f in seen[name]), seen[name]
+    monkeypatch.undo()
+    assert counts(load) == {"1.csv": (4, 4, 0, 4, 0, 0), "2.csv": (4, 4, 0, 2, 1, 1)}
+    assert load.store.total("master").first()["rows"] == load.master().count() == 6
+    load.compact()
+    assert load.store.total("master").first()["rows"] == load.master().count() == 6
+    assert sorted(p.name for p in (tmp_path / "state" / "master").glob("v=*/period=*")) == ["period=2021", "period=2022"]
