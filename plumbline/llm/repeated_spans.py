@@ -20,7 +20,7 @@ symbols counted from its gram and sorts their suffixes by Lyndon groups
 (`suffix_groups`).  Symbols that stand once in the portion end a string.  Suffixes
 that agree in all symbols a window holds whole are neighbours then; the up to seven
 bytes before and after these symbols decide which windows are equal.  Equal segments
-are sent at most twice by a task and sorted once.
+are sent once by a task and sorted once.
 
 Spans go back to the texts by digest, so copies of a text are cut alike.
 
@@ -42,6 +42,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,13 +55,10 @@ _U = np.uint64
 WIDTH = 8
 #: Bits of a place in a stretch of text.
 PLACE = 21
-#: Bits of the table of grams that occur more often than once: 32 MB.
-FILTER_BITS = 1 << 28
+#: Bits of the tables of grams that occur more often than once, and of texts that lose something: 16 and 2 MB.
+GRAM_BITS, TEXT_BITS = 1 << 27, 1 << 24
 #: A gram of so many segments is dealt further, or one that has more than a share of all; so many are at most.
 FREQUENT, MOST_FREQUENT = 2_000, 500_000
-#: Copies of a text's spans, so that the rows of a text that fills the table don't meet in one task.
-COPIES = 16
-
 
 
 class Sizes(NamedTuple):
@@ -144,7 +142,7 @@ def segments(pieces: list[tuple[int, int, bytes]], by: Sizes) -> tuple[bytes, np
 
 
 def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & _U(FILTER_BITS - 1)
+    place = hashes & _U(64 * len(bits) - 1)
     return (bits[(place >> _U(6)).astype(np.int64)] >> (place & _U(63))) & _U(1) == 1
 
 
@@ -172,10 +170,8 @@ def dealt(joined: bytes, lo: int, hi: int, gram: int, h: int, length: int) -> It
         near, far = far, min(2 * far, length)
 
 
-def sent_segments(texts: DataFrame, by: Sizes, bits: np.ndarray, frequent: np.ndarray) -> DataFrame:
-    """Segments of grams that are marked: where they stand, and at most twice a task their bytes."""
-    tables = texts.sparkSession.sparkContext.broadcast((bits, frequent))
-
+def sent_segments(texts: DataFrame, by: Sizes, tables: Broadcast) -> DataFrame:
+    """Segments of grams that are marked (tables: bits, and the frequent ones): where they stand, and once a task their bytes; a key where they count."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         table, often = tables.value
         seen_texts: dict[bytes, int] = {}
@@ -185,7 +181,7 @@ def sent_segments(texts: DataFrame, by: Sizes, bits: np.ndarray, frequent: np.nd
             own, ids = [], []
             for x in bytes_of(batch.column("text")):
                 if x and len(x) >= by.length:
-                    text_id = hashlib.sha256(x).digest()
+                    text_id = hashlib.sha256(x).digest()[:16]
                     times = seen_texts[text_id] = seen_texts.get(text_id, 0) + 1
                     if times < 3:
                         own.append(x)
@@ -205,8 +201,8 @@ def sent_segments(texts: DataFrame, by: Sizes, bits: np.ndarray, frequent: np.nd
                         name = xxhash.xxh3_128_digest(b"%d %d %d " % (key, g - a, b - a) + part)
                         times = seen[name] = seen.get(name, 0) + 1
                         if text_id is not None or times < 3:
-                            some = (key - (1 << 63), g - a, b - a + 1, part) if times < 3 else (None, None, None, None)
-                            rows.append((text_id, a + move, name, *some))
+                            some = (key - (1 << 63), g - a, b - a + 1) if times < 3 else (None, None, None)
+                            rows.append((text_id, a + move, name, *some, part if times == 1 else None))
                 if rows:
                     yield dict(zip(names, zip(*rows, strict=True), strict=True))
                 if len(seen) > 1_000_000:  # bounded; forgotten segments are sent again
@@ -331,27 +327,28 @@ def repeated_spans(found: DataFrame, by: Sizes) -> DataFrame:
                     ids, times, parts, size = [], [], [], 0
                 if key == now and ids and ids[-1] == name:
                     times[-1] += 1
+                    parts[-1] = (gram, windows, parts[-1][2] or raw)
                     continue
                 now = key
                 ids.append(name)
                 times.append(1)
                 parts.append((gram, windows, raw))
-                size += len(raw)
+                size += windows + by.length
         if ids:
             yield from close()
 
-    dealt_out = found.where("segment is not null").select("key", "id", "gram", "windows", "segment").repartition("key")
+    dealt_out = found.where("key is not null").select("key", "id", "gram", "windows", "segment").repartition("key")
     return mapped(dealt_out.sortWithinPartitions("key", "id"), work, "id binary,spans binary")
 
 
-def filter_of(hashes: DataFrame) -> np.ndarray:
-    """The table of bits of a column h; its size is fixed."""
-    bit = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1))
+def filter_of(hashes: DataFrame, n: int) -> np.ndarray:
+    """The table of `n` bits of a column h."""
+    bit = F.col("h").bitwiseAND(F.lit(n - 1))
     cells = hashes.select(
         F.shiftright(bit, 6).alias("cell"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int")).alias("one")
     ).groupBy("cell").agg(F.bit_or("one").alias("one"))
     found = cells.toPandas()
-    bits = np.zeros(FILTER_BITS // 64, _U)
+    bits = np.zeros(n // 64, _U)
     bits[found["cell"].to_numpy(np.int64)] = found["one"].to_numpy(np.int64).view(_U)
     return bits
 
@@ -367,34 +364,81 @@ def without_repeats(docs: DataFrame, length: int = 200, sizes: Sizes | None = No
     total = counts.agg(F.sum("n")).first()[0] or 0
     bound = max(frequent_from, math.ceil(total / MOST_FREQUENT))
     frequent = np.sort(counts.where(F.col("n") >= bound).select("h").toPandas()["h"].to_numpy(np.int64).view(_U))
-    found = stored(sent_segments(texts, by, filter_of(counts), frequent))
+    tables = docs.sparkSession.sparkContext.broadcast((filter_of(counts.select("h"), GRAM_BITS), frequent))
+    found = stored(sent_segments(texts, by, tables))
+    tables.destroy()  # what it was for is kept
     repeated = repeated_spans(found, by)
 
-    # A segment that a third of the texts share meets its answer once per task that sent it.
-    here = found.where("text_id is not null").select("text_id", "lo", "id", F.substring("text_id", 1, 1).alias("lead"))
-    answers = stored(repeated)
-    met = here.select("lead", "id").distinct().join(answers, "id")
-    cuts = here.join(met, ["lead", "id"]).groupBy("text_id").agg(F.collect_list(F.struct("lo", "spans")).alias("cuts"))
-    copies = cuts.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    places = found.where("text_id is not null").select("text_id", "lo", "id").join(repeated, "id")
+    cuts = stored(text_spans(places.select("text_id", "lo", "spans")))
+    lead = F.conv(F.substring(F.hex("text_id"), 1, 14), 16, 10).cast("bigint")
+    return cut_texts(rows, cuts, filter_of(cuts.select(lead.alias("h")), TEXT_BITS))
+
+
+def text_spans(places: DataFrame) -> DataFrame:
+    """(text_id, spans): all that goes from a text, merged in a stream over its places."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        now, own, ids, out = None, [], [], []
+
+        def close() -> None:
+            if now is not None:
+                ids.append(now)
+                out.append(merged_spans(*np.concatenate(own).T).astype("<i8").tobytes())
+
         for batch in batches:
+            for text_id, lo, spans in zip(*(batch.column(c).to_pylist() for c in ("text_id", "lo", "spans")), strict=True):
+                if text_id != now:
+                    close()
+                    now, own = text_id, []
+                own.append(np.frombuffer(spans, "<i8").reshape(-1, 2) + lo)
+            if len(ids) >= 1000:
+                yield {"text_id": ids, "spans": out}
+                ids, out = [], []
+        close()
+        if ids:
+            yield {"text_id": ids, "spans": out}
+
+    return mapped(places.repartition("text_id").sortWithinPartitions("text_id"), work, "text_id binary,spans binary")
+
+
+def cut_texts(rows: DataFrame, cuts: DataFrame, bits: np.ndarray) -> DataFrame:
+    """Every row with its text cut; texts that nothing goes from stay where they are."""
+    sent = rows.sparkSession.sparkContext.broadcast(bits)
+    names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    schema = "doc_id bigint,n_bytes bigint,n_removed bigint,n_spans bigint,kept_sha256 string,kept binary"
+
+    def leads(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+        ids = [hashlib.sha256(x).digest() for x in texts]
+        return ids, marked(sent.value, np.array([int.from_bytes(i[:7], "big") for i in ids], np.uint64))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in slices(batches, "text"):
+            texts = bytes_of(batch.column("text"))
+            ids, some = leads(texts)
+            each = zip(batch.column("doc_id").to_pylist(), texts, ids, some.tolist(), strict=True)
+            out = [(i, len(x), 0, 0, d.hex(), x) for i, x, d, cut in each if not cut]
+            if out:
+                yield dict(zip(names, zip(*out, strict=True), strict=True))
+
+    def those(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in slices(batches, "text"):
+            texts = bytes_of(batch.column("text"))
+            ids, some = leads(texts)
+            at = np.flatnonzero(some).tolist()
+            if at:
+                doc_id = batch.column("doc_id").to_pylist()
+                yield {"doc_id": [doc_id[i] for i in at], "text": [texts[i] for i in at], "text_id": [ids[i][:16] for i in at]}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in slices(batches, "text"):
             out = []
-            columns = (batch.column(c) for c in ("doc_id", "text", "cuts"))
-            doc_id, text, cuts = columns
-            for i, x, own in zip(doc_id.to_pylist(), bytes_of(text), cuts.to_pylist(), strict=True):
-                spans = np.zeros((0, 2), np.int64)
-                if own:
-                    each = [np.frombuffer(c["spans"], "<i8").reshape(-1, 2) + c["lo"] for c in own]
-                    spans = merged_spans(*np.concatenate(each).T)
-                edges = [0, *spans.reshape(-1).tolist(), len(x)]
+            for i, x, own in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans")), strict=True):
+                spans = np.frombuffer(own or b"", "<i8").tolist()
+                edges = [0, *spans, len(x)]
                 kept = b"".join(x[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                out.append((i, len(x), len(x) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept))
-            if out:
-                yield dict(zip(("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"), zip(*out, strict=True), strict=True))
+                out.append((i, len(x), len(x) - len(kept), len(spans) // 2, hashlib.sha256(kept).hexdigest(), kept))
+            yield dict(zip(names, zip(*out, strict=True), strict=True))
 
-    keyed = rows.withColumns(
-        {"text_id": F.unhex(F.sha2(F.col("text").cast("binary"), 256)), "copy": F.pmod(F.xxhash64("doc_id"), F.lit(COPIES)).cast("int")}
-    )
-    ready = keyed.join(copies, ["text_id", "copy"], "left").select("doc_id", "text", "cuts")
-    return mapped(ready, work, "doc_id bigint,n_bytes bigint,n_removed bigint,n_spans bigint,kept_sha256 string,kept binary")
+    moved = mapped(rows, those, "doc_id bigint,text binary,text_id binary").join(cuts, "text_id", "left")
+    return mapped(rows, whole, schema).unionByName(mapped(moved.select("doc_id", "text", "spans"), cut, schema))
