@@ -34,6 +34,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,8 +43,8 @@ from plumbline.llm.hat_trie import WIDTH, HatTrie
 from plumbline.llm.shingles import bytes_of, mix, powers
 
 _U = np.uint64
-#: Bits of the table that tells tasks what is frequent: 16 MB.
-FILTER_BITS = 1 << 27
+#: Bits of the table that tells tasks what is frequent: 8 MB.
+FILTER_BITS = 1 << 26
 #: Cells are 32 bits wide and counted in so many parts.
 PART_BITS = 8
 PARTS = 1 << PART_BITS
@@ -64,9 +65,9 @@ class Room(NamedTuple):
     """Entries of a container and of a trie, cells of a task, bytes of text at a time."""
 
     burst: int = 4096
-    entries: int = 1_000_000
-    cells: int = 4_000_000
-    text: int = 2 << 20
+    entries: int = 500_000
+    cells: int = 2_000_000
+    text: int = 1 << 20
 
 
 _RUNS = "lang string,prefix bigint,phrase binary,n bigint"
@@ -172,32 +173,30 @@ def windows(ids: np.ndarray, size: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(ids, size)
 
 
-def phrase_runs(tokens: DataFrame, size: int, bits: np.ndarray, room: Room) -> DataFrame:
+def phrase_runs(tokens: DataFrame, size: int, sent: Broadcast, room: Room) -> DataFrame:
     """Runs of the phrases of `size` words whose bit is set."""
-    sent = tokens.sparkSession.sparkContext.broadcast(bits)
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         trie = HatTrie(room.burst, room.entries)
         step = WIDTH * (size - 1)
-        for batch in slices(batches, "ids", 4 << 20):
-            for lang, rows in by_language(batch, "ids"):
-                ids = np.frombuffer((b"\0" * WIDTH).join(rows), _U)
-                hashes = phrase_hashes(ids, size, seed_of(lang))
-                here = np.flatnonzero(marked(sent.value, hashes))
-                here = here[(windows(ids, size)[here] != 0).all(axis=1)] if len(here) else here
-                if not len(here):
-                    continue
-                _, where, counts = np.unique(hashes[here], return_index=True, return_counts=True)
-                where = here[where]
-                order = np.argsort(ids[where], kind="stable")
-                where, counts = where[order], counts[order].tolist()
-                firsts = ids[where]
-                rests = windows(ids, size)[where][:, 1:].astype(">u8").tobytes()
-                cuts = np.flatnonzero(np.append(True, firsts[1:] != firsts[:-1])).tolist() + [len(firsts)]
-                heads = firsts.astype(">u8").tobytes()
-                for a, b in zip(cuts, cuts[1:], strict=False):
-                    rest = [rests[step * i : step * (i + 1)] for i in range(a, b)]
-                    trie.add(lang, heads[WIDTH * a : WIDTH * (a + 1)], rest, counts[a:b])
+        for lang, ids in sequences(batches):
+            if len(ids) < size:
+                continue
+            hashes = phrase_hashes(ids, size, seed_of(lang))
+            here = np.flatnonzero(marked(sent.value, hashes))
+            here = here[(windows(ids, size)[here] != 0).all(axis=1)] if len(here) else here
+            if not len(here):
+                continue
+            _, where, counts = np.unique(hashes[here], return_index=True, return_counts=True)
+            where = here[where]
+            order = np.argsort(ids[where], kind="stable")
+            where, counts = where[order], counts[order].tolist()
+            firsts = ids[where]
+            rests = windows(ids, size)[where][:, 1:].astype(">u8").tobytes()
+            cuts = np.flatnonzero(np.append(True, firsts[1:] != firsts[:-1])).tolist() + [len(firsts)]
+            heads = firsts.astype(">u8").tobytes()
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                rest = [rests[step * i : step * (i + 1)] for i in range(a, b)]
+                trie.add(lang, heads[WIDTH * a : WIDTH * (a + 1)], rest, counts[a:b])
             yield from runs_out(trie.overflow())
         yield from runs_out(trie.rest())
 
@@ -265,7 +264,7 @@ def folded(pieces: list[tuple[np.ndarray, np.ndarray]], most: int) -> list[tuple
     order = np.argsort(cells, kind="stable")
     cells, counts = cells[order], counts[order]
     first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
-    return [(cells[first], np.minimum(np.add.reduceat(counts, first), most))]
+    return [(cells[first], np.minimum(np.add.reduceat(counts, first, dtype=np.int64), most).astype(counts.dtype))]
 
 
 class Cells:
@@ -279,7 +278,7 @@ class Cells:
 
     def add(self, hashes: np.ndarray) -> None:
         cells, counts = np.unique((hashes & _U(0xFFFFFFFF)).astype(np.uint32), return_counts=True)
-        self.pieces.append((cells, np.minimum(counts, 255)))
+        self.pieces.append((cells, np.minimum(counts, 255).astype(np.uint8)))
         self.size += len(cells)
         if self.size > 2 * self.most:
             self._fold()
@@ -355,53 +354,75 @@ def word_cells(texts: DataFrame, room: Room) -> DataFrame:
     return mapped(texts, work, _CELLS)
 
 
-def phrase_cells(tokens: DataFrame, size: int, bits: np.ndarray, room: Room) -> DataFrame:
+def phrase_cells(tokens: DataFrame, size: int, sent: Broadcast, room: Room) -> DataFrame:
     """Cells of the phrases of `size` words both of whose parts of one word less are marked."""
-    sent = tokens.sparkSession.sparkContext.broadcast(bits)
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         cells = Cells(room.cells)
-        for batch in slices(batches, "ids", 4 << 20):
-            for lang, rows in by_language(batch, "ids"):
-                ids = np.frombuffer((b"\0" * WIDTH).join(rows), _U)
+        for lang, ids in sequences(batches):
+            if len(ids) >= size:
                 good = marked(sent.value, phrase_hashes(ids, size - 1, seed_of(lang)))
                 here = good[:-1] & good[1:]
                 for k in range(size):
                     here &= ids[k : k + len(here)] != 0
                 cells.add(phrase_hashes(ids, size, seed_of(lang))[here])
-            yield from cells.out()
+                yield from cells.out()
         yield from cells.out(last=True)
 
     return mapped(tokens, work, _CELLS)
 
 
-def tokens_of(texts: DataFrame, bits: np.ndarray, room: Room) -> DataFrame:
-    """(lang, ids, new, words): ids of marked words, 0 for others and between pieces; words that a task meets first."""
-    sent = texts.sparkSession.sparkContext.broadcast(bits)
-
+def tokens_of(texts: DataFrame, sent: Broadcast, room: Room) -> DataFrame:
+    """(lang, ids, codes): ids of marked words, 0 for others and between pieces, as places in the distinct ones."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        known: dict[str, np.ndarray] = {}
         for batch in slices(batches, "text", room.text):
             for lang, part in ((x, part) for x, every in by_language(batch, "text") for part in in_parts(every, room.text)):
-                ids, opens, starts, ends, raw = words_of(part, seed_of(lang))
+                ids, opens, *_ = words_of(part, seed_of(lang))
                 if not len(ids):
                     continue
                 ids = np.where(marked(sent.value, phrase_hashes(ids, 1, seed_of(lang))), ids, _U(0))
-                unique, where = np.unique(ids, return_index=True)
-                old = known.get(lang, np.zeros(1, _U))
-                fresh = ~np.isin(unique, old, assume_unique=True)
-                known[lang] = np.union1d(old, unique[fresh])
-                at = where[fresh]
                 # A 0 before each piece; runs of zeros say no more than one.
                 out = np.insert(ids, np.flatnonzero(opens), _U(0))
                 keep = out != 0
                 keep[1:] |= out[:-1] != 0
-                yield {
-                    "lang": [lang], "ids": [out[keep].tobytes()], "new": [unique[fresh].astype(">u8").tobytes()],
-                    "words": [[raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]],
-                }
+                distinct, codes = np.unique(out[keep], return_inverse=True)
+                planes = np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+                yield {"lang": [lang], "ids": [distinct.tobytes()], "codes": [planes.tobytes()]}
 
-    return mapped(texts, work, "lang string,ids binary,new binary,words array<binary>")
+    return mapped(texts, work, "lang string,ids binary,codes binary")
+
+
+def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray]]:
+    """Language and ids of each row of tokens."""
+    for batch in slices(batches, "codes", 1 << 20):
+        for lang, ids, planes in zip(*(batch.column(c).to_pylist() for c in ("lang", "ids", "codes")), strict=True):
+            codes = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
+            yield lang, np.frombuffer(ids, _U)[codes]
+
+
+def spelling(texts: DataFrame, bits: np.ndarray, room: Room) -> DataFrame:
+    """(lang, id, word) of the words whose bit is set."""
+    sent = texts.sparkSession.sparkContext.broadcast(bits)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        known: dict[str, np.ndarray] = {}
+        for batch in slices(batches, "text", room.text):
+            for lang, part in ((x, part) for x, every in by_language(batch, "text") for part in in_parts(every, room.text)):
+                ids, _, starts, ends, raw = words_of(part, seed_of(lang))
+                if not len(ids):
+                    continue
+                here = np.flatnonzero(marked(sent.value, phrase_hashes(ids, 1, seed_of(lang))))
+                unique, where = np.unique(ids[here], return_index=True)
+                old = known.get(lang, np.zeros(0, _U))
+                fresh = ~np.isin(unique, old, assume_unique=True)
+                known[lang] = np.union1d(old, unique[fresh])
+                at = here[where[fresh]]
+                if len(at):
+                    words = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+                    own = unique[fresh].astype(">u8").tobytes()
+                    yield {"lang": [lang] * len(at), "id": [own[i : i + WIDTH] for i in range(0, len(own), WIDTH)], "word": words}
+
+    found = mapped(texts, work, "lang string,id binary,word binary")
+    return found.groupBy("lang", "id").agg(F.max("word").cast("string").alias("word"))
 
 
 # Scores -----------------------------------------------------------------------------
@@ -459,20 +480,19 @@ def collocations(
         raise ValueError("least must lie between 1 and 255")
     cells = stored(word_cells(texts, room))
     totals = cells.where("part < 0").groupBy("lang").agg(F.sum("n").alias("n"))
-    bits = filter_of(often(cells.where("part >= 0"), least))
-    words = stored(tokens_of(texts, bits, room))
-    tokens, levels = words.select("lang", "ids"), []
+    # A table is sent, used by one job whose result is kept, and taken back.
+    send = docs.sparkSession.sparkContext.broadcast
+    sent = send(filter_of(often(cells.where("part >= 0"), least)))
+    tokens, levels = stored(tokens_of(texts, sent, room)), []
     for size in range(1, longest + 1):
         if size > 1:
-            bits = filter_of(often(phrase_cells(tokens, size, bits, room), least))
-        levels.append(stored(merged(phrase_runs(tokens, size, bits, room), size, least)))
-        bits = filter_of(levels[-1]) if size < longest else bits
-    spelling = (
-        words.select("lang", "new", F.posexplode("words").alias("i", "word"))
-        .select("lang", F.expr(f"substring(new, {WIDTH} * i + 1, {WIDTH})").alias("id"), "word")
-        .groupBy("lang", "id")
-        .agg(F.first("word").cast("string").alias("word"))
-    )
+            bits = filter_of(often(phrase_cells(tokens, size, sent, room), least))
+            sent.destroy()
+            sent = send(bits)
+        levels.append(stored(merged(phrase_runs(tokens, size, sent, room), size, least)))
+        sent.destroy()
+        if size < longest:
+            sent = send(filter_of(levels[-1]))
 
     every = stored(scored(levels, totals))
     kept = every.join(inside_longer(every), ["lang", "phrase"], "left").where(
@@ -484,9 +504,11 @@ def collocations(
     for by in (["lang", "part"], ["lang"]):
         by_score = Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"))
         front = front.withColumn("place", F.rank().over(by_score)).where(F.col("place") <= most)
-    front = front.drop("place", "part")
+    front = stored(front.drop("place", "part"))
     ids = F.expr(f"transform(sequence(0, cast(length(phrase) / {WIDTH} as int) - 1), i -> substring(phrase, {WIDTH} * i + 1, {WIDTH}))")
-    named = front.select("*", F.posexplode(ids).alias("i", "id")).join(spelling, ["lang", "id"])
+    named = stored(front.select("*", F.posexplode(ids).alias("i", "id")))
+    needed = named.select("lang", F.col("id").alias("phrase")).distinct().join(levels[0], ["lang", "phrase"])
+    named = named.join(spelling(texts, filter_of(needed), room), ["lang", "id"])
     spelled = named.groupBy("lang", "phrase", "a", "l", "r", "n", "score").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]), " ").alias("spelled")
     )
