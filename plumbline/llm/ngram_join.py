@@ -189,6 +189,28 @@ def candidate_keys(docs: DataFrame, size: int, share: int) -> DataFrame:
     return mapped(texts, work, "set_id bigint,key bigint")
 
 
+def candidate_edges(keys: DataFrame) -> DataFrame:
+    """(a, b): every set of a key with the key's least set, in one stream over one exchange."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        last_key, last_centre = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, ids = (batch.column(c).to_numpy() for c in ("key", "set_id"))
+            new = np.append(last_key is None or key[0] != last_key, key[1:] != key[:-1])
+            run = np.cumsum(new)  # 0: goes on with the key of the batch before
+            centre = np.append(last_centre, ids[new])[run]
+            last_key, last_centre = key[-1], centre[-1]
+            apart = ids != centre
+            if apart.any():
+                pairs = np.unique(np.stack([ids[apart], centre[apart]], axis=1), axis=0)
+                yield {"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])}
+
+    dealt_out = keys.repartition("key").sortWithinPartitions("key", "set_id")
+    return mapped(dealt_out, work, "a bigint,b bigint")
+
+
 def set_id(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
@@ -329,11 +351,8 @@ def near_groups(docs: DataFrame, size: int = 5, share: int = 80) -> DataFrame:
         .groupBy("set_id")
         .agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"))
     )
-    # One exchange serves both uses: copies are few by now, a key's rows are of different sets.
-    keys = candidate_keys(docs, size, share).repartition("key")
-    cells = keys.groupBy("key").agg(F.min("set_id").alias("centre"), F.max("set_id").alias("last")).where("centre < last")
-    edges = keys.join(cells.select("key", "centre"), "key").where("set_id <> centre")
-    family = components(edges.select(F.col("set_id").alias("a"), F.col("centre").alias("b")).distinct())
+    edges = candidate_edges(candidate_keys(docs, size, share))
+    family = components(edges.distinct())
     family = family.unionByName(family.select(F.col("root").alias("node"), "root").distinct())
     members = stored(sets.join(family, sets["set_id"] == family["node"]).select("root", "set_id", "least", "n"))
 

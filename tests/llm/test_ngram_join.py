@@ -100,3 +100,13 @@ def test_frequent_shingles_change_no_result(spark):
     assert len(J.frequent_shingles(df, 4)) > 20
     got = {r["doc_id"]: {(r["n_shingles"], r["component_id"])} for r in J.near_groups(df, 4, 85).collect()}
     assert got == brute(docs, 4, 85)
+
+
+def test_edges_come_from_one_pass_over_one_exchange(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h")] * 3, "doc_id bigint, text string")
+    plan = J.candidate_edges(J.candidate_keys(docs, 4, 85))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and plan.count("Exchange") == 1  # the keys, and the stream over them
+    rows = [(3, 1), (2, 1), (2, 1), (9, 5), (7, 8), (7, 6), (7, 9)]
+    keys = spark.createDataFrame([(s, k) for k, s in rows], "set_id bigint, key bigint")
+    found = {(r["a"], r["b"]) for r in J.candidate_edges(keys).collect()}
+    assert found == {(8, 6), (9, 6)}
