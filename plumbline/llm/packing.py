@@ -25,6 +25,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +38,14 @@ from plumbline.llm.pretokens import Units, packed
 
 #: The plan is broadcast up to so many runs; a larger one is joined by Spark's own choice.
 BROADCAST_RUNS = 50_000
-_PIECES = "doc_id bigint,piece int,start bigint,length bigint,ids binary,part bigint,nth bigint"
+_PIECES = "doc_id bigint,piece int,start bigint,length bigint,ids_crc32 bigint,part bigint,nth bigint"
 _OPEN: dict[str, Units] = {}
 
 
-def pieces(docs: DataFrame, name: str, closing: int, limit: int, ranks: str | None) -> DataFrame:
+def pieces(docs: DataFrame, name: str, closing: int, limit: int, ranks: str | None, with_ids: bool) -> DataFrame:
     """Pieces of at most `limit` ids; `part` and `nth` number those of a length within a task."""
+    schema = _PIECES + ",ids binary" * with_ids
+    names = [x.split()[0] for x in schema.split(",")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         if name not in _OPEN:
@@ -53,20 +56,28 @@ def pieces(docs: DataFrame, name: str, closing: int, limit: int, ranks: str | No
         for batch in slices(batches, "text", 4 << 20):
             rows = []
             for doc_id, values in zip(batch.column("doc_id").to_pylist(), units.many(batch.column("text").to_pylist()), strict=True):
-                ids = b"".join([*values, end])
+                values.append(end)
+                ids = b"".join(values)
                 total = len(ids) // 4
+                if total <= limit:
+                    row = (doc_id, 0, 0, total, crc32(ids), part, nth[total])
+                    rows.append((*row, ids) if with_ids else row)
+                    nth[total] += 1
+                    continue
                 at = 0
                 for k in range(-(-total // limit)):
                     size = (total % limit or limit) if k == 0 else limit
-                    rows.append((doc_id, k, at, size, ids[4 * at : 4 * (at + size)], part, nth[size]))
+                    own = ids[4 * at : 4 * (at + size)]
+                    row = (doc_id, k, at, size, crc32(own), part, nth[size])
+                    rows.append((*row, own) if with_ids else row)
                     nth[size] += 1
                     at += size
-            yield dict(zip((x.split()[0] for x in _PIECES.split(",")), zip(*rows, strict=True), strict=True))
+            yield dict(zip(names, zip(*rows, strict=True), strict=True))
 
     return mapped(
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")),
         cut,
-        _PIECES,
+        schema,
     )
 
 
@@ -140,7 +151,11 @@ def pack_documents(
     closing: int = 2,
     limit: int = 1024,
     ranks: str | None = "byte_bpe_50k.tiktoken",
+    with_ids: bool = True,
 ) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids (little-endian unsigned 32-bit), ids_crc32, sequence_id, offset."""
-    found = stored(pieces(docs, name, closing, limit, ranks).withColumn("ids_crc32", F.crc32("ids")))
+    """Per piece: doc_id, piece, start, length, ids_crc32, ids (little-endian unsigned 32-bit), sequence_id, offset.
+
+    Without `with_ids` the ids stay where they are made; their crc32 tells what they are.
+    """
+    found = stored(pieces(docs, name, closing, limit, ranks, with_ids))
     return pack(found, limit)

@@ -67,7 +67,7 @@ def op3_ngram_jaccard_join(spark, sf_dir):
 @registered
 def op4_best_fit_packing(spark, sf_dir):
     """Every document in sequences of at most 1024 tokens."""
-    return pack_documents(table(spark, sf_dir, "documents")).select(
+    return pack_documents(table(spark, sf_dir, "documents"), with_ids=False).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
 
