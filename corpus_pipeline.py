@@ -38,7 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens and their places in sequences."""
-    return pack_documents(docs).drop("ids")
+    return pack_documents(docs, with_ids=False)
 
 
 STAGES = [
