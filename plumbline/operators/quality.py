@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from plumbline.functions.casting import (
     DATE_FORMAT,
     DATE_PATTERN,
+    NON_FINITE_WORDS,
     SERIES_PATTERN,
     clean_text,
     has_format,
     in_calendar,
-    is_non_finite,
     parse_decimal,
 )
 from plumbline.functions.once import computed
@@ -42,20 +42,141 @@ RUN_KEY = ("run_id", "source", "parsed_date", "clean_series")
 
 
 @dataclass(frozen=True)
-class Feed:
-    """Raw columns and formats of a feed; the defaults are the daily rate file."""
+class Step:
+    """What a field must be, and the code of the fault where it isn't.
+
+    `holds` takes the cleaned text, or the parsed value where `of_value` is set, of
+    which neither is missing; a NULL answer counts as a fault.
+    """
+
+    code: str
+    holds: Callable[[Column], Column]
+    of_value: bool = False
+
+
+def shaped(code: str, pattern: str) -> Step:
+    """The whole text has a form."""
+    return Step(code, lambda text: has_format(text, pattern))
+
+
+def listed(code: str, words: Sequence[str]) -> Step:
+    """The text is one of some words, in any case."""
+    return Step(code, lambda text: F.upper(text).isin(*words))
+
+
+def barred(code: str, words: Sequence[str]) -> Step:
+    """The text is none of some words, in any case."""
+    return Step(code, lambda text: ~F.upper(text).isin(*words))
+
+
+def above(code: str, bound: float) -> Step:
+    """The value is greater than a bound."""
+    return Step(code, lambda value: value > bound, of_value=True)
+
+
+def within(code: str, low: object, high: object) -> Step:
+    """The value lies between two bounds, both included."""
+    return Step(code, lambda value: value.between(low, high), of_value=True)
+
+
+@dataclass(frozen=True)
+class Field:
+    """A raw text column and its checks, in their order; a row gets the first that fails.
+
+    Blank text is missing: the fault `missing`, or none where the field may be absent.
+    `parse` turns a text without a fault into a value, NULL where it can't: `unparsable`.
+    """
+
+    name: str
+    raw: str
+    missing: str | None = None
+    steps: tuple[Step, ...] = ()
+    parse: Callable[[Column], Column] | None = None
+    unparsable: str | None = None
+
+    @property
+    def text(self) -> str:
+        return f"clean_{self.name}"
+
+    @property
+    def value(self) -> str:
+        return f"parsed_{self.name}" if self.parse else self.text
+
+    @property
+    def fault(self) -> str:
+        return f"fault_{self.name}"
+
+    @property
+    def codes(self) -> list[str]:
+        """The field's faults in the order in which they are looked for."""
+        early = [s.code for s in self.steps if not s.of_value]
+        late = [s.code for s in self.steps if s.of_value]
+        return [c for c in (self.missing, *early, self.unparsable, *late) if c]
+
+    def fault_of_text(self) -> Column:
+        """Code of the first check that the text fails, else NULL."""
+        text = F.col(self.text)
+        checks = [(text.isNull(), F.lit(self.missing))]
+        checks += [(~_sure(s.holds(text)), F.lit(s.code)) for s in self.steps if not s.of_value]
+        return _first(checks)
 
-    raw_date: str = "raw_rate_date"
-    raw_series: str = "series_id"
-    raw_value: str = "raw_rate"
-    date_format: str = DATE_FORMAT
-    date_pattern: str = DATE_PATTERN
-    series_pattern: str = SERIES_PATTERN
-    precision: int = 20
-    scale: int = 8
+    def fault_of_value(self) -> Column:
+        """Code of the first check that the value of a sound text fails, else NULL."""
+        value = F.col(self.value)
+        checks = [(value.isNull(), F.lit(self.unparsable))] if self.parse else []
+        checks += [(~_sure(s.holds(value)), F.lit(s.code)) for s in self.steps if s.of_value]
+        return F.when(F.col(self.text).isNotNull(), _first(checks)) if checks else F.lit(None).cast("string")
 
 
-DAILY_RATES = Feed()
+def _sure(c: Column) -> Column:
+    return F.coalesce(c, F.lit(False))
+
+
+def _first(checks: Sequence[tuple[Column, Column]]) -> Column:
+    out = F.lit(None).cast("string")
+    for test, code in reversed(checks):
+        out = F.when(test, code).otherwise(out)
+    return out
+
+
+@dataclass(frozen=True)
+class Feed:
+    """Declared fields, the key that is unique within a run, and the text of each fault.
+
+    Typed columns, predicates and details all follow from it.
+    """
+
+    fields: tuple[Field, ...]
+    key: tuple[str, ...]
+    repeated: str
+    details: Mapping[str, str]
+
+    def __post_init__(self) -> None:
+        codes = [c for f in self.fields for c in f.codes] + [self.repeated]
+        if len(set(codes)) < len(codes) or set(codes) != set(self.details):
+            raise ValueError(f"every fault needs one code and one text: {sorted(set(codes) ^ set(self.details))}")
+        if any(f.parse and not f.unparsable for f in self.fields):
+            raise ValueError("a field with a parser needs a code for texts that it can't parse")
+
+
+DAILY_RATES = Feed(
+    fields=(
+        Field(
+            "date", "raw_rate_date", "MISSING_DATE",
+            (shaped("INVALID_DATE_FORMAT", DATE_PATTERN),),
+            lambda text: in_calendar(F.try_to_date(text, DATE_FORMAT)), "INVALID_DATE_VALUE",
+        ),
+        Field("series", "series_id", "MISSING_SERIES_ID", (shaped("INVALID_SERIES_ID", SERIES_PATTERN),)),
+        Field(
+            "rate", "raw_rate", "MISSING_RATE",
+            (barred("NON_FINITE_RATE", NON_FINITE_WORDS), above("NON_POSITIVE_RATE", 0)),
+            parse_decimal, "INVALID_RATE",
+        ),
+    ),
+    key=RUN_KEY,
+    repeated="DUPLICATE_BUSINESS_KEY",
+    details=RULE_DETAILS,
+)
 
 
 @dataclass(frozen=True)
@@ -68,39 +189,23 @@ class Rule:
 
 
 def typed_rows(staging: DataFrame, feed: Feed = DAILY_RATES) -> DataFrame:
-    """Staging rows with cleaned text and safely parsed date and value."""
-    cleaned = staging.withColumns(
-        {
-            "clean_date": clean_text(feed.raw_date),
-            "clean_series": clean_text(feed.raw_series),
-            "clean_rate": clean_text(feed.raw_value),
-        }
-    ).withColumn("date_format_ok", has_format("clean_date", feed.date_pattern))
-    well_formed = F.when(F.col("date_format_ok"), F.col("clean_date"))
-    parsed = computed(
-        cleaned,
-        _day=F.try_to_date(well_formed, feed.date_format),
-        parsed_rate=parse_decimal("clean_rate", feed.precision, feed.scale),
-    )
-    return parsed.withColumn("parsed_date", in_calendar(F.col("_day"))).drop("_day")
+    """Staging rows with each field's cleaned text, its parsed value and its first fault.
+
+    A text with a fault isn't parsed; its value is NULL.
+    """
+    cleaned = staging.withColumns({f.text: clean_text(f.raw) for f in feed.fields})
+    checked = computed(cleaned, **{f"_{f.fault}": f.fault_of_text() for f in feed.fields})
+    parsers = {f.value: f.parse(F.when(F.col(f"_{f.fault}").isNull(), F.col(f.text))) for f in feed.fields if f.parse}
+    parsed = computed(checked, **parsers) if parsers else checked
+    faults = {f.fault: F.coalesce(f"_{f.fault}", f.fault_of_value()) for f in feed.fields}
+    return parsed.withColumns(faults).drop(*[f"_{f.fault}" for f in feed.fields])
 
 
 def feed_rules(feed: Feed = DAILY_RATES) -> list[Rule]:
-    """The ten rules over typed rows; all but the last look at one row only."""
-    date, series, value = F.col("clean_date"), F.col("clean_series"), F.col("clean_rate")
-    fails = {
-        "MISSING_DATE": date.isNull(),
-        "INVALID_DATE_FORMAT": date.isNotNull() & ~F.col("date_format_ok"),
-        "INVALID_DATE_VALUE": F.col("date_format_ok") & F.col("parsed_date").isNull(),
-        "MISSING_SERIES_ID": series.isNull(),
-        "INVALID_SERIES_ID": series.isNotNull() & ~has_format(series, feed.series_pattern),
-        "MISSING_RATE": value.isNull(),
-        "NON_FINITE_RATE": is_non_finite(value),
-        "INVALID_RATE": value.isNotNull() & ~is_non_finite(value) & F.col("parsed_rate").isNull(),
-        "NON_POSITIVE_RATE": F.col("parsed_rate") <= 0,
-        "DUPLICATE_BUSINESS_KEY": F.col("business_key_count") > 1,
-    }
-    return [Rule(code, RULE_DETAILS[code], fails[code]) for code in RULE_CODES]
+    """A feed's rules over typed rows, in the order of its details; one looks at more than a row."""
+    fails = {code: F.col(f.fault) == code for f in feed.fields for code in f.codes}
+    fails[feed.repeated] = F.col("business_key_count") > 1
+    return [Rule(code, detail, fails[code]) for code, detail in feed.details.items()]
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -116,7 +221,7 @@ def flag_rows(
     **hot: int,
 ) -> DataFrame:
     """Typed staging rows with key multiplicity, rule flags and validity."""
-    counted = key_multiplicity(typed_rows(staging, feed), RUN_KEY, repeated=repeated, **hot)
+    counted = key_multiplicity(typed_rows(staging, feed), feed.key, repeated=repeated, **hot)
     return apply_rules(counted, feed_rules(feed))
 
 
@@ -139,7 +244,7 @@ def rule_totals(
 def exception_rows(
     flags: DataFrame,
     carry: Sequence[str],
-    details: dict[str, str] = RULE_DETAILS,
+    details: Mapping[str, str] = RULE_DETAILS,
 ) -> DataFrame:
     """One row per row and failed rule; only invalid rows are unpivoted."""
     texts = F.create_map(*[F.lit(t) for pair in details.items() for t in pair])

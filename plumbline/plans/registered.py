@@ -224,13 +224,14 @@ def write_readback(spark, sf_dir):
 
 @registered
 def typed_rows(spark, sf_dir):
+    well_formed = F.coalesce(F.col("fault_date") == "INVALID_DATE_VALUE", F.lit(True))
     return plain(
         Q.typed_rows(X.stg(spark, sf_dir)).select(
             "source_row_no",
             "clean_date",
             "clean_series",
             "clean_rate",
-            "date_format_ok",
+            well_formed.alias("date_format_ok"),
             "parsed_date",
             "parsed_rate",
         )
