@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import BOM
-from plumbline.operators.quality import flag_rows
+from plumbline.operators.quality import Feed, Field, above, flag_rows, listed, shaped, within
 from plumbline.operators.classify import valid_by_flag
 from plumbline.operators.registry import REGISTRY_SCHEMA
 from plumbline.session import cut_lineage
@@ -233,6 +233,31 @@ def landed_csv(spark: SparkSession, sf_dir: str, path: str, files: int = 8) -> N
     lines.select("file", "value").write.partitionBy("file").text(path)
 
 
+def increments(spark: SparkSession, sf_dir: str, path: str) -> tuple[str, str]:
+    """Two increments of landed CSV files over all orders, as folders; a file holds 4,000 orders' days.
+
+    The second one brings other prices for every tenth order, and the thirteenth orders
+    that the first one lacks.  Some rows are blank or short, some lack their date or hold
+    no number, some are sent twice.
+    """
+    k, n = F.col("o_orderkey"), F.col("n")
+    day = F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), (k % 4000).cast("int")), "dd-MMM-yyyy")
+    price = F.col("o_totalprice").cast("decimal(20,8)") + F.when((n == 2) & (k % 10 == 1), 1).otherwise(0)
+    second = F.when(k % 89 == 4, "NaN").otherwise(F.col("o_custkey").cast("string"))
+    row = F.concat_ws(",", F.when(k % 97 == 3, "").otherwise(day), price.cast("decimal(20,8)").cast("string"), second)
+    row = F.when(k % 83 == 5, F.concat(day, F.lit(",1"))).when(k % 101 == 7, ",,").otherwise(row)
+    copies = F.array_repeat(row, F.when(k % 79 == 6, 2).otherwise(1))
+    orders = table(spark, sf_dir, "orders").withColumn("file", F.floor(k / 4000).cast("bigint"))
+    numbered = orders.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2)))).where((n == 2) | (k % 13 != 0))
+    lines = numbered.select("n", "file", k.alias("_k"), F.explode(copies).alias("value"))
+    f = F.col("file").cast("string")
+    head = F.concat(F.lit("Rates\nSeries ID,FXR"), f, F.lit("A,FXR"), f, F.lit("B"))
+    heads = lines.select("n", "file").distinct().select("n", "file", F.lit(-1).cast("bigint").alias("_k"), head.alias("value"))
+    both = lines.unionByName(heads).repartition("n", "file").sortWithinPartitions("n", "file", "_k")
+    both.select("n", "file", "value").write.partitionBy("n", "file").text(path)
+    return f"{path}/n=1", f"{path}/n=2"
+
+
 def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One small landed CSV per order: metadata, own header, blank and odd rows."""
     k = F.col("o_orderkey")
@@ -304,6 +329,52 @@ def staging_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(again)
 
 
+#: A feed of line items: whole quantities, a discount, ISO days and one of three flags.
+ITEM_FEED = Feed(
+    fields=(
+        Field(
+            "quantity", "raw_quantity", "MISSING_QUANTITY", (above("NO_QUANTITY", 0),),
+            lambda text: text.try_cast("bigint"), "INVALID_QUANTITY",
+        ),
+        Field(
+            "discount", "raw_discount", None, (within("DISCOUNT_RANGE", 0, 0.08),),
+            lambda text: text.try_cast("decimal(6,4)"), "INVALID_DISCOUNT",
+        ),
+        Field(
+            "day", "raw_day", "MISSING_DAY", (shaped("DAY_FORMAT", r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"),),
+            lambda text: F.try_to_date(text, "yyyy-MM-dd"), "INVALID_DAY",
+        ),
+        Field("flag", "raw_flag", "MISSING_FLAG", (listed("UNKNOWN_FLAG", ("A", "N", "R")),)),
+    ),
+    key=("run_id", "l_orderkey", "l_linenumber", "parsed_day"),
+    repeated="REPEATED_ITEM",
+    details={
+        "MISSING_QUANTITY": "no quantity", "INVALID_QUANTITY": "no whole number", "NO_QUANTITY": "quantity of 0 or less",
+        "INVALID_DISCOUNT": "no decimal number", "DISCOUNT_RANGE": "discount outside 0 to 0.08",
+        "MISSING_DAY": "no day", "DAY_FORMAT": "not like 2024-01-31", "INVALID_DAY": "no day of the calendar",
+        "MISSING_FLAG": "no flag", "UNKNOWN_FLAG": "flag other than A, N, R", "REPEATED_ITEM": "sent more than once",
+    },
+)
+
+
+def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as dirty text."""
+    k = F.col("l_orderkey")
+    return table(spark, sf_dir, "lineitem").select(
+        F.lit("r0").alias("run_id"),
+        "l_orderkey",
+        "l_linenumber",
+        choose(k % 31, {3: "", 4: "ten", 5: "0"}, F.col("l_quantity").cast("int").cast("string")).alias("raw_quantity"),
+        choose(k % 37, {3: " ", 4: "1/2"}, F.col("l_discount").cast("decimal(6,4)").cast("string")).alias("raw_discount"),
+        choose(
+            k % 41,
+            {3: None, 4: F.date_format("l_shipdate", "dd-MMM-yyyy"), 5: "2023-02-30"},
+            F.date_format("l_shipdate", "yyyy-MM-dd"),
+        ).alias("raw_day"),
+        choose(k % 43, {3: " ", 4: "X"}, F.lower("l_returnflag")).alias("raw_flag"),
+    )
+
+
 def orphans(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Raw line items, and the part keys that count as known."""
     members = table(spark, sf_dir, "part").where("p_size <= 25").select(F.col("p_partkey").alias("l_partkey"))

@@ -22,6 +22,7 @@ from plumbline.operators import rollback as B
 from plumbline.operators import upsert as U
 from plumbline.plans import drill as D
 from plumbline.plans import fixtures as X
+from plumbline.plans.controlled_load import ControlledLoad
 from plumbline.session import cut_lineage, shared_folder
 from plumbline.sources import batches, blocks, landing, store
 
@@ -784,3 +785,62 @@ def rollback_report(spark, sf_dir):
         },
     )
     return plain(report)
+
+
+# The whole load ---------------------------------------------------------------
+
+
+def _loaded(spark, sf_dir) -> tuple[ControlledLoad, DataFrame]:
+    """Two increments from two origins loaded one after the other; what a reload of the first gives."""
+    first, second = X.increments(spark, sf_dir, shared_folder(spark, "landed"))
+    state = store.StateStore(spark, shared_folder(spark, "state"))
+    lake, shortcut = (ControlledLoad(spark, state, origin, "FX", now=X.at(X.NOW)) for origin in ("lake", "shortcut"))
+    lake.load(f"{first}/*")
+    shortcut.load(f"{second}/*")
+    return lake, lake.load(f"{first}/*")
+
+
+@registered
+def controlled_load(spark, sf_dir):
+    """Counters, count law and structural exceptions of every run, and what loading its file again gives."""
+    load, again = _loaded(spark, sf_dir)
+    file = F.regexp_extract("source_url", "file=([0-9]+)/", 1).cast("bigint").alias("file")
+    unsound = load.table("structural_exceptions").groupBy("run_id").agg(F.count("*").alias("structural_count"))
+    laws = load.history().select("run_id", "count_reconciliation")
+    return (
+        load.registry()
+        .join(unsound, "run_id", "left")
+        .join(laws, "run_id", "left")
+        .join(again.select("run_id", F.col("outcome").alias("again")), "run_id", "left")
+        .select(
+            F.col("source").alias("origin"), file, "status", *R.COUNTERS,
+            F.coalesce("structural_count", F.lit(0)).cast("bigint").alias("structural_count"),
+            "count_reconciliation", "again",
+        )
+    )
+
+
+@registered
+def controlled_load_master(spark, sf_dir):
+    """The master after both increments, with the origins that first brought and last changed a rate."""
+    load, _ = _loaded(spark, sf_dir)
+    runs = load.registry().select("run_id", F.col("source").alias("origin"))
+    first, last = (runs.toDF(f"{of}_run_id", f"{of}_origin") for of in ("first_loaded", "last_changed"))
+    return plain(
+        load.master()
+        .join(first, "first_loaded_run_id")
+        .join(last, "last_changed_run_id")
+        .select("source", "rate_date", "series_id", "rate", "first_loaded_origin", "last_changed_origin")
+    )
+
+
+@registered
+def second_feed(spark, sf_dir):
+    """Another feed's declared rules over raw line items: failures by code, and the valid rows' values."""
+    flags = cut_lineage(Q.flag_rows(X.raw_items(spark, sf_dir), X.ITEM_FEED))
+    texts = Q.exception_rows(flags, ["run_id", "l_orderkey", "l_linenumber"], X.ITEM_FEED.details)
+    failed = texts.groupBy("error_code", "error_detail").agg(F.count("*").alias("row_count"))
+    valid = flags.where("is_valid").agg(F.count("*").alias("row_count"), F.sum("parsed_quantity").alias("total"))
+    return failed.withColumn("total", F.lit(None).cast("bigint")).unionByName(
+        valid.select(F.lit("VALID").alias("error_code"), F.lit("").alias("error_detail"), "row_count", "total")
+    )

@@ -158,6 +158,20 @@ def test_an_unclosed_quote_rejects_its_file_alone(spark, tmp_path):
     assert len(rates(load)) == 2 and load.table("bronze").count() == (3 + 31) + (3 + 1)
 
 
+def test_a_file_without_rows_is_rejected_and_raises_in_strict_mode(spark, tmp_path, monkeypatch):
+    load, folder = make(spark, tmp_path), tmp_path / "landing"
+    land(folder, "1.csv", "\n,,\n")
+    path = land(folder, "2.csv", "03-Jan-2023,1\n")
+    assert [r.outcome for r in load.load(path).collect()] == ["REJECTED"] * 2
+    assert [r.status for r in load.registry().collect()] == ["RUNNING"] * 2 and load.master().isEmpty()
+    monkeypatch.setattr(ControlledLoad, "_process", lambda *_: pytest.fail("parsed again"))
+    assert [r.outcome for r in load.load(path).collect()] == ["REJECTED"] * 2
+    monkeypatch.undo()
+    strict = ControlledLoad(spark, StateStore(spark, str(tmp_path / "strict")), "s", "FX", strict=True)
+    with pytest.raises(ValueError, match="1.csv: NO_DATA_ROWS"):
+        strict.load(path)
+
+
 def test_other_origin_gives_a_second_run_with_nothing_new(spark, tmp_path):
     path = land(tmp_path / "landing", "1.csv", "03-Jan-2023,0.6828,0.6397\n")
     make(spark, tmp_path).load(path)

@@ -265,3 +265,34 @@ def test_registry_and_monitoring(spark):
     other = counts.withColumn("staged_count", F.lit(9).cast("bigint"))
     assert R.complete(closed, other, first, now).where("staged_count = 9").isEmpty()
     assert R.finalize(closed, other, first, now).where("staged_count = 9").count() == 1
+
+
+def test_rules_follow_from_declared_fields(spark):
+    feed = Q.Feed(
+        fields=(
+            Q.Field("sku", "raw_sku", "NO_SKU", (Q.shaped("BAD_SKU", r"\A[A-Z]{2}\z"), Q.barred("TEST_SKU", ("ZZ",)))),
+            Q.Field(
+                "units", "raw_units", None, (Q.above("NO_UNITS", 0), Q.within("MANY_UNITS", 0, 99)),
+                lambda text: text.try_cast("int"), "BAD_UNITS",
+            ),
+        ),
+        key=("run_id", "clean_sku"),
+        repeated="TWICE",
+        details={c: c.lower() for c in ("NO_SKU", "BAD_SKU", "TEST_SKU", "NO_UNITS", "MANY_UNITS", "BAD_UNITS", "TWICE")},
+    )
+    rows = [
+        (1, "AB", "5"), (2, "CD", None), (3, " ", "x"), (4, "abc", "0"), (5, "ZZ", "100"),
+        (6, "EF", "7"), (7, " EF", "-1"), (8, None, None),
+    ]
+    raw = spark.createDataFrame([("r", *r) for r in rows], "run_id string, n int, raw_sku string, raw_units string")
+    flags = Q.flag_rows(raw, feed)
+    found = Q.exception_rows(flags, ["n"], feed.details).collect()
+    assert sorted((r.n, r.error_code, r.error_detail) for r in found) == [
+        (3, "BAD_UNITS", "bad_units"), (3, "NO_SKU", "no_sku"), (4, "BAD_SKU", "bad_sku"), (4, "NO_UNITS", "no_units"),
+        (5, "MANY_UNITS", "many_units"), (5, "TEST_SKU", "test_sku"), (6, "TWICE", "twice"),
+        (7, "NO_UNITS", "no_units"), (7, "TWICE", "twice"), (8, "NO_SKU", "no_sku"),
+    ]
+    values = {r.n: (r.clean_sku, r.parsed_units) for r in flags.where("is_valid").collect()}
+    assert values == {1: ("AB", 5), 2: ("CD", None)}
+    with pytest.raises(ValueError, match="one code"):
+        Q.Feed(feed.fields, feed.key, "TWICE", {"TWICE": "x"})
