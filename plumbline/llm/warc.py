@@ -5,7 +5,9 @@ at least `least` bytes one is a response and the others are revisits of it, whic
 hold its headers only.  A task writes volumes: when the records of a volume are
 together, a Zstandard dictionary is built from them, embedded in the volume's
 leading skippable frame, and each record becomes a frame of its own that needs
-only that dictionary, so a record can be read without its neighbours.
+only that dictionary, so a record can be read without its neighbours.  Few or large
+records are cut into pieces to train on; a volume of too few bytes for that has a
+header of its own as raw dictionary, and the manifest says which volumes have one.
 
 Volumes are files in the shared folder, written under a new name and moved into
 place, so a task that runs again replaces its own volumes; the manifest names
@@ -13,7 +15,7 @@ those that count.  They are read back as binary files, one volume at a time.
 
 Defined results: null html is an empty payload.  Pages without id are archived and
 read back without id; among equal payloads they are revisits where one with an id
-is there.  Of repeated ids with one payload, one is the response.  A null url is
+is there; an empty table has no volumes.  Of repeated ids with one payload, one is the response.  A null url is
 an empty target.  Other columns are not read.
 """
 
@@ -84,34 +86,50 @@ def parsed(raw: bytes) -> tuple:
     )
 
 
-def volume(records: Sequence[bytes], dictionary_bytes: int, level: int) -> bytes:
-    """A file of records: the dictionary's frame, then a frame per record.
-
-    The dictionary is trained on whole records evenly spaced over the volume, of
-    a hundred times its size in all; few or tiny records have none.
-    """
+def samples(records: Sequence[bytes], most: int) -> list[bytes]:
+    """What a dictionary is trained on, about `most` bytes: records evenly spaced, or pieces of them where they are few."""
     total = sum(map(len, records))
-    step = max(1, total // (100 * dictionary_bytes))
-    trained = None
-    if len(records) >= 16:
+    spaced = list(records[:: max(1, total // most)])
+    if len(spaced) >= 16:
+        return spaced
+    size = min(4096, max(256, total // 64))
+    pieces = [r[k : k + size] for r in records for k in range(0, len(r), size)]
+    return pieces[:: max(1, len(pieces) * size // most)]
+
+
+def dictionary_of(records: Sequence[bytes], dictionary_bytes: int) -> zstandard.ZstdCompressionDict:
+    """A dictionary trained on a volume's records; the first record's header where they hold too little for that."""
+    given = samples(records, 100 * dictionary_bytes)
+    for size, k in ((dictionary_bytes, 1024), (min(dictionary_bytes, sum(map(len, given)) // 8), 64)):
         try:
-            trained = zstandard.train_dictionary(dictionary_bytes, list(records[::step]), k=1024, d=8)
-        except zstandard.ZstdError:  # too little in the records to build one from
-            trained = None
-    raw = trained.as_bytes() if trained else b""
-    press = zstandard.ZstdCompressor(level=level, dict_data=trained, write_checksum=True, write_content_size=True)
+            return zstandard.train_dictionary(size, given, k=k, d=8)
+        except (zstandard.ZstdError, ValueError):  # too little in the records for one of that size
+            continue
+    head = records[0].split(b"\r\n\r\n", 1)[0] if records else b"WARC"
+    return zstandard.ZstdCompressionDict(head[:dictionary_bytes], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+
+
+def volume(records: Sequence[bytes], dictionary_bytes: int, level: int) -> bytes:
+    """A file of records: the dictionary's frame, then a frame per record."""
+    known = dictionary_of(records, dictionary_bytes)
+    raw = known.as_bytes()
+    press = zstandard.ZstdCompressor(level=level, dict_data=known, write_checksum=True, write_content_size=True)
     return b"".join([struct.pack("<II", DICTIONARY_FRAME, len(raw)), raw, *map(press.compress, records)])
 
 
+def dictionary_kind(data: bytes) -> str:
+    """`trained` or `raw`: what the first frame of a volume holds."""
+    return "trained" if struct.unpack_from("<I", data, 8)[0] == DICTIONARY_MAGIC else "raw"
+
+
 def records_of(data: bytes) -> Iterator[bytes]:
     """The records of a volume."""
     magic, size = struct.unpack_from("<II", data)
     if magic != DICTIONARY_FRAME:
         raise ValueError("the volume doesn't begin with a dictionary")
-    raw = data[8 : 8 + size]
-    if size and struct.unpack_from("<I", raw)[0] != DICTIONARY_MAGIC:
-        raise ValueError("the first frame holds no dictionary")
-    reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw) if size else None)
+    kind = zstandard.DICT_TYPE_FULLDICT if dictionary_kind(data) == "trained" else zstandard.DICT_TYPE_RAWCONTENT
+    known = zstandard.ZstdCompressionDict(data[8 : 8 + size], dict_type=kind)
+    reader = zstandard.ZstdDecompressor(dict_data=known)
     rest = memoryview(data)[8 + size :]
     while len(rest):
         frame = reader.decompressobj()
@@ -123,7 +141,7 @@ def write_archive(
     pages: DataFrame, least: int = 1000, volume_bytes: int = 16 << 20, dictionary_bytes: int = 64 << 10, level: int = 3,
     date: str = "2024-01-01T00:00:00Z",
 ) -> tuple[str, DataFrame]:
-    """Archive all pages; the folder and the manifest (name, records, bytes) of its volumes."""
+    """Archive all pages; the folder and the manifest (name, records, bytes, dictionary) of its volumes."""
     spark = pages.sparkSession
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(
@@ -164,7 +182,7 @@ def write_archive(
             with store.open_output_stream(fresh) as out:
                 out.write(data)
             store.move(fresh, f"{root}/{name}")
-            done = {"name": [name], "records": [len(held)], "bytes": [len(data)]}
+            done = {"name": [name], "records": [len(held)], "bytes": [len(data)], "dictionary": [dictionary_kind(data)]}
             made, held, size = made + 1, [], 0
             return done
 
@@ -181,7 +199,7 @@ def write_archive(
     ready = keyed.join(revisits, F.col("row") == F.col("_row"), "left").select(
         "page_id", "url", "html", "refers_to", F.col("_row").isNotNull().alias("revisit")
     )
-    return folder, stored(mapped(ready, write, "name string,records bigint,bytes bigint"))
+    return folder, stored(mapped(ready, write, "name string,records bigint,bytes bigint,dictionary string"))
 
 
 def _ensure(spark: SparkSession, folder: str) -> None:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -56,7 +57,26 @@ def test_volume_begins_with_its_dictionary_and_frames_stand_alone():
     assert len(data) - size - 8 < plain / 2
     with pytest.raises(zstandard.ZstdError):
         zstandard.ZstdDecompressor().decompress(data[8 + size :])
-    assert list(W.records_of(W.volume(records[:2], 4096, 3))) == records[:2]
+
+
+@pytest.mark.parametrize("count, size, kind", [(1, 3, "raw"), (2, 40, "raw"), (3, 40_000, "trained"), (20, 1_000, "trained"), (1, 2_000_000, "trained")])
+def test_every_volume_has_a_dictionary(count, size, kind):
+    rng = random.Random(count)
+    bodies = [" ".join(f"word{rng.randrange(200)}" for _ in range(size // 7 + 1)).encode() for _ in range(count)]
+    records = [W.record(i, "http://x/", b, None, False, "2024-01-01T00:00:00Z") for i, b in enumerate(bodies)]
+    data = W.volume(records, 4096, 3)
+    assert list(W.records_of(data)) == records
+    assert int.from_bytes(data[4:8], "little") > 0 and W.dictionary_kind(data) == kind
+
+
+def test_the_manifest_names_the_dictionary_of_each_volume(spark):
+    """Pages larger than a volume, and a last one with hardly any."""
+    rows = [(1, "u", "many words " * 9_000), (2, "u", "other words " * 9_000), (3, "u", "x")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    folder, manifest = W.write_archive(df, volume_bytes=50_000, dictionary_bytes=2048)
+    assert sorted((r["records"], r["dictionary"]) for r in manifest.collect()) == [(1, "raw"), (1, "trained"), (1, "trained")]
+    back = {r["page_id"]: bytes(r["html"]).decode() for r in W.read_archive(spark, folder, manifest).collect()}
+    assert back == {i: h for i, _, h in rows}
 
 
 def test_empty_table(spark):
