@@ -15,17 +15,23 @@ item, a pivot where the bounds reach the threshold, then the bounds of the block
 there, and only then the weights.  Every item that a passage scores at or above
 the threshold for is retrieved, none is cut off by rank.
 
-Retrieved pairs are verified on word shingles: the share of the question's and of
-the answer's shingles that the passage holds must both reach `overlap`.  The
-answer is the last line of an item, or its last sentence if it has one line; an
-item of one sentence is a question alone.
+Retrieved pairs are verified: the passage must hold the question and the answer.  It
+holds a part when the share of the part's word shingles that it has reaches
+`overlap`, or that of the words left when it is edited, by whole words, into some
+run of the passage's words.  A part of two words or more may also differ in one word
+if the item as a whole reaches `overlap`, so one changed word never hides an item of
+five words or more that is retrieved.  The answer is the last line of an item, or its
+last sentence if it has one line; an item of one sentence is a question alone.
 
 The index is broadcast.  Items beyond `index_bytes` of text go to further indexes,
-each of which all passages are asked against.
-
-Defined results: null or empty texts and items match nothing.  Equal items are
-each found.  Ids may be null or repeated: results carry them as they are.
-Columns besides the ids and texts are not read.
+each of which all passages are asked against.  Numbers of items, their mean and
+largest length and the words' frequencies are taken over all items, so scores and
+passages are the same for any number of indexes.
+
+Defined results: null or empty texts and items match nothing; empty tables give no
+rows.  Equal items are each found.  Ids may be null or repeated: results carry them as
+they are.  Columns besides the ids and texts are not read.  Very long texts are read
+on in portions of bounded numbers of words and passages.
 """
 
 from __future__ import annotations
@@ -35,15 +41,16 @@ import re
 from array import array
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import mapped, slices, without
+from plumbline.llm.common import mapped, slices, stored, without
 from plumbline.llm.shingles import bytes_of
 
 K1, B = 1.2, 0.75
@@ -52,6 +59,10 @@ BLOCK = 32
 COMMON = 0.3
 #: Blocks of items in the first test at most: its table has so many columns.
 FIRST_BLOCKS = 256
+#: Sums of passages and blocks, and words, that the first test holds at once.
+CELLS, WORDS = 1 << 20, 1 << 15
+#: Bytes of a text that are split into words at once.
+PORTION = 1 << 20
 #: ASCII punctuation and white space part words; letters of other scripts don't.
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -73,21 +84,41 @@ def shingled(w: Sequence[bytes], size: int) -> set[tuple[bytes, ...]]:
     return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
 
 
+def edits(part: Sequence[bytes], text: Sequence[bytes]) -> int:
+    """Words to change, drop or add until `part` is some run of the words of `text`."""
+    number: dict[bytes, int] = {}
+    wanted = [number.setdefault(x, len(number)) for x in part]
+    have = np.array([number.get(x, -1) for x in text], np.int64)
+    places = np.arange(len(have) + 1)
+    row = np.zeros(len(have) + 1, np.int64)
+    for done, x in enumerate(wanted, 1):
+        changed = np.minimum(row[1:] + 1, row[:-1] + (have != x))
+        row = np.minimum.accumulate(np.concatenate(([done], changed)) - places) + places
+    return int(row.min())
+
+
+class Figures(NamedTuple):
+    """What BM25 takes from all items: their number, mean and largest length, and the items of a word."""
+
+    items: int
+    mean: float
+    longest: int
+    seen: Mapping[bytes, int]
+
+
 class Index:
     """Items as an inverted index with blocks: what is broadcast."""
 
-    def __init__(self, items: Sequence[tuple[int | None, str]], size: int):
+    def __init__(self, items: Sequence[tuple[int | None, str]], size: int, figures: Figures):
         kept = [(i, t, w) for i, t in items if (w := words(t))]
         self.ids = [i for i, _, _ in kept]
-        self.longest = max((len(w) for _, _, w in kept), default=1)
-        mean = sum(len(w) for _, _, w in kept) / max(1, len(kept))
+        n_items, mean, self.longest, seen = figures
         counts = [Counter(w) for _, _, w in kept]
-        seen = Counter(x for c in counts for x in c)
-        self.terms = {x: k for k, x in enumerate(sorted(seen))}
+        self.terms = {x: k for k, x in enumerate(sorted({x for c in counts for x in c}))}
         postings: list[list[tuple[int, float]]] = [[] for _ in self.terms]
         for at, ((_, _, w), count) in enumerate(zip(kept, counts, strict=True)):
             part = {
-                x: math.log(1 + (len(kept) - seen[x] + 0.5) / (seen[x] + 0.5))
+                x: math.log(1 + (n_items - seen[x] + 0.5) / (seen[x] + 0.5))
                 * n * (K1 + 1) / (n + K1 * (1 - B + B * len(w) / mean))
                 for x, n in count.items()
             }
@@ -120,9 +151,27 @@ class Index:
             most += top.values()
             cuts.append(len(block))
         self.block, self.most, self.cuts = np.array(block, np.int64), np.array(most), np.array(cuts)
-        self.parts = [
-            tuple(shingled(words(x), size) for x in question_and_answer(t)) for _, t, _ in kept
-        ]
+        self.parts = [[words(x) for x in question_and_answer(t)] for _, t, _ in kept]
+        self.grams = [[shingled(x, size) for x in parts] for parts in self.parts]
+
+    def shares(self, at: int, text: Sequence[bytes], grams: set, size: int, overlap: float) -> list[float] | None:
+        """How much of an item's parts a passage holds; None if that is too little."""
+        shares, changed = [], 0
+        for part, own in zip(self.parts[at], self.grams[at], strict=True):
+            if not part:
+                shares.append(1.0)
+                continue
+            pool = shingled(text, len(part)) if len(part) < size else grams
+            share = len(own & pool) / len(own)
+            if share < 1:
+                n = edits(part, text)
+                share = max(share, 1 - n / len(part))
+                if share < overlap and (n > 1 or len(part) < 2):
+                    return None
+                changed += n
+            shares.append(share)
+        whole = 1 - changed / sum(map(len, self.parts[at]))
+        return shares if min(shares) >= overlap or whole >= overlap else None
 
     def search(self, terms: Sequence[int], threshold: float) -> list[tuple[int, float]]:
         """Items that a query of distinct terms scores at least `threshold` for, by block-max WAND."""
@@ -167,6 +216,41 @@ def spans(first: np.ndarray, size: np.ndarray, value: np.ndarray) -> tuple[np.nd
     return number, np.repeat(value, size)
 
 
+def portions(text: bytes, stride: int, width: int, most: int) -> Iterator[tuple[int, list[bytes]]]:
+    """A text's words in overlapping portions of at most `most` passages: number of the first passage, words."""
+    plain, at, first, held = text.translate(_PLAIN), 0, 0, []
+    full = (most - 1) * stride + width
+    while at < len(plain):
+        cut = plain.find(b" ", at + PORTION)
+        cut = len(plain) if cut < 0 else cut
+        held += plain[at:cut].split()
+        at = cut
+        while len(held) > full:
+            yield first, held[:full]
+            held, first = held[most * stride :], first + most
+    if held:
+        yield first, held
+
+
+def together(batch: pa.RecordBatch, stride: int, width: int, most: int) -> Iterator[list[tuple[int, int, list[bytes]]]]:
+    """Portions of all texts of a batch with their row, in groups of about `most` passages."""
+    group, size = [], 0
+    for row, text in enumerate(bytes_of(batch.column("text"))):
+        for first, w in portions(text or b"", stride, width, most):
+            group.append((row, first, w))
+            size += passages(len(w), stride, width)
+            if size >= most:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
+
+
+def passages(n, stride: int, width: int):
+    """Passages of a text of so many words, at least one."""
+    return np.maximum(1, -(-(n - width) // stride) + 1)
+
+
 def hits(docs: DataFrame, index: Index, size: int, threshold: float, overlap: float) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -175,24 +259,21 @@ def hits(docs: DataFrame, index: Index, size: int, threshold: float, overlap: fl
         other, stride, width = len(ix.terms), ix.longest, 2 * ix.longest
         get = ix.terms.get
         floor = threshold - 1e-6
+        most = max(1, min(CELLS // ix.blocks, WORDS // stride))
 
-        def verified(doc_id, text: list[bytes], firsts: list[int], term: np.ndarray, best: dict) -> None:
-            for first in firsts:
-                span = slice(first * stride, first * stride + width)
+        def verified(text: list[bytes], places: list[int], before: int, term: np.ndarray, best: dict) -> None:
+            for k in places:
+                span = slice(k * stride, k * stride + width)
                 here = np.unique(term[span])
                 found = ix.search(here[here < other].tolist(), floor)
                 grams = shingled(text[span], size) if found else set()
                 for at, score in found:
-                    shares = []
-                    for part in ix.parts[at]:
-                        short = next((len(g) for g in part if len(g) < size), 0)
-                        pool = shingled(text[span], short) if short else grams
-                        shares.append(len(part & pool) / len(part) if part else 1.0)
-                    if min(shares) >= overlap and score > best.get(at, (0.0,))[0]:
-                        best[at] = (score, first, *shares)
+                    shares = ix.shares(at, text[span], grams, size, overlap)
+                    if shares and score > best.get(at, (0.0,))[0]:
+                        best[at] = (score, before + k, *shares)
 
-        for batch in slices(batches, "text", 2 << 20):
-            texts = [words(x) for x in bytes_of(batch.column("text"))]
+        def search(group: list[tuple[int, int, list[bytes]]], best: dict[int, dict]) -> None:
+            texts = [w for _, _, w in group]
             n = np.array([len(w) for w in texts])
             term = np.fromiter((get(x, other) for w in texts for x in w), np.int32, int(n.sum()))
             starts = np.cumsum(n) - n
@@ -205,7 +286,7 @@ def hits(docs: DataFrame, index: Index, size: int, threshold: float, overlap: fl
             last[order[1:][same]] = order[:-1][same]
             place = known - starts[doc[known]]
             before = np.where(last[known] < 0, -1, last[known] - starts[doc[known]])
-            windows = np.maximum(1, -(-(n - width) // stride) + 1) * (n > 0)
+            windows = passages(n, stride, width)
             at = np.cumsum(windows) - windows
             low = np.maximum(place - width, -1) // stride + 1  # first passage that holds the place
             low = np.maximum(low, before // stride + 1)  # and that its last place isn't in
@@ -218,13 +299,17 @@ def hits(docs: DataFrame, index: Index, size: int, threshold: float, overlap: fl
             sums = np.bincount(place * ix.blocks + ix.block[entry], ix.most[entry], total * ix.blocks)
             may = np.flatnonzero(sums.reshape(total, ix.blocks).max(axis=1, initial=0.0) >= floor - ix.common_most)
             owner = np.searchsorted(at + windows, may, side="right")
-            rows = []
-            ids = batch.column("doc_id").to_pylist()
             for d in np.unique(owner).tolist():
-                best: dict = {}
-                firsts = (may[owner == d] - at[d]).tolist()
-                verified(ids[d], texts[d], firsts, term[starts[d] : starts[d] + n[d]], best)
-                rows += [(ids[d], ix.ids[i], *x) for i, x in best.items()]
+                row, first, text = group[d]
+                places = (may[owner == d] - at[d]).tolist()
+                verified(text, places, first, term[starts[d] : starts[d] + n[d]], best.setdefault(row, {}))
+
+        for batch in slices(batches, "text", 2 << 20):
+            best: dict[int, dict] = {}
+            for group in together(batch, stride, width, most):
+                search(group, best)
+            ids = batch.column("doc_id").to_pylist()
+            rows = [(ids[row], ix.ids[i], *x) for row, found in best.items() for i, x in found.items()]
             if rows:
                 names = ("doc_id", "item_id", "score", "passage", "question_overlap", "answer_overlap")
                 yield dict(zip(names, zip(*rows, strict=True), strict=True))
@@ -236,6 +321,25 @@ def hits(docs: DataFrame, index: Index, size: int, threshold: float, overlap: fl
     )
 
 
+def counted(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of items with their shard: (shard, word, n) the items of a word by task, and (items, words, longest) by task."""
+
+    def per_word(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in slices(batches, "text"):
+            seen: Counter = Counter()
+            for shard, text in zip(batch.column("shard").to_pylist(), bytes_of(batch.column("text")), strict=True):
+                seen.update((shard, w) for w in set(words(text)))
+            yield {"shard": [s for s, _ in seen], "word": [w for _, w in seen], "n": list(seen.values())}
+
+    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in slices(batches, "text"):
+            sizes = [n for t in bytes_of(batch.column("text")) if (n := len(words(t)))]
+            yield {"items": [len(sizes)], "words": [sum(sizes)], "longest": [max(sizes, default=0)]}
+
+    totals = mapped(items, lengths, "items bigint,words bigint,longest bigint")
+    return mapped(items, per_word, "shard int,word binary,n bigint"), totals
+
+
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -248,11 +352,19 @@ def contaminated(
     items = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, math.ceil(total / index_bytes))
-    shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
+    items = stored(items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int")))
+    by_word, totals = counted(items)
+    by_word = stored(by_word)
+    n, length, longest = totals.agg(F.sum("items"), F.sum("words"), F.max("longest")).first()
+    overall = by_word.groupBy("word").agg(F.sum("n").alias("n"))
     found = []
     for k in range(shards):
-        some = items.where(shard == k).orderBy("item_id", "text").collect()
-        found.append(hits(docs, Index([(r[0], r[1]) for r in some], size), size, threshold, overlap))
+        some = items.where(F.col("shard") == k).orderBy("item_id", "text").collect()
+        # As many words as the shard has: its text bounds them.
+        own = by_word.where(F.col("shard") == k).select("word").distinct().join(overall, "word").collect()
+        figures = Figures(n or 0, (length or 0) / max(1, n or 0), longest or 1, {bytes(r["word"]): r["n"] for r in own})
+        index = Index([(r["item_id"], r["text"]) for r in some], size, figures)
+        found.append(hits(docs, index, size, threshold, overlap))
     return reduce(DataFrame.unionByName, found)
 
 
