@@ -22,7 +22,8 @@ in cells of these two numbers.
 Defined results: a null or empty text has no match and gets the score of no match.
 Ids may be null or repeated; each row is scored.  Labels that are null don't
 count; of several labels of one id the largest does.  Without a toxic or a clean
-labelled text the lexicon is empty and the score 0.  Columns besides `doc_id` and
+labelled text the lexicon is empty and the score 0; an empty table gives no rows.  A
+text's matches are sorted against its exception phrases, however long it is.  Columns besides `doc_id` and
 `text` (`toxic` of the labels) are not read.
 """
 
@@ -30,10 +31,12 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -155,10 +158,14 @@ class Matcher:
                 spared.append((start, end))
             elif start not in best or size > best[start][0]:
                 best[start] = (size, weight)
+        # A match is spared if some phrase that begins no later ends no earlier.
+        spared.sort()
+        begins = [a for a, _ in spared]
+        reach = [0, *accumulate((b for _, b in spared), max)]
         return [
             (s, s + size - 1, w)
             for s, (size, w) in best.items()
-            if not any(a <= s and s + size - 1 <= b for a, b in spared)
+            if reach[bisect_right(begins, s)] < s + size - 1
         ]
 
 

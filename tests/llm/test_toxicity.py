@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,6 +27,40 @@ def rows():
     return docs, labels + [(1001, None), (3, 0), (None, 1)]
 
 
+def brute_hits(weights, exceptions, words):
+    """Longest entry at each blank, unless an exception phrase around it stands in the text."""
+    text, out = f" {' '.join(words)} ", []
+    places = [(i, i + len(x) - 1) for x in exceptions for i in range(len(text)) if text.startswith(x, i)]
+    for i in range(len(text)):
+        fits = [x for x in weights if text.startswith(x, i)]
+        if fits:
+            x = max(fits, key=len)
+            end = i + len(x)
+            if not any(a <= i and end - 1 <= b for a, b in places):
+                out.append((i, end - 1, weights[x]))
+    return out
+
+
+def test_matches_and_exceptions_equal_brute_force():
+    rng = random.Random(5)
+    vocabulary = ["scum", "scumbag", "plague", "plagued", "doctor", "of", "the", "pla"]
+    weights = {" scum": 1.0, " scumbag ": 2.0, " plague": 3.0, " plagued ": 4.0, " doct": 0.5}
+    exceptions = [" plague doctor ", " the scumbag ", " doctor of the plague ", " scum scum "]
+    for _ in range(300):
+        words = rng.choices(vocabulary, k=rng.randint(0, 25))
+        chosen = rng.sample(exceptions, rng.randint(0, 4))
+        got = X.Matcher(weights, chosen).hits(words)
+        assert sorted(got) == brute_hits(weights, chosen, words)
+    assert X.Matcher({}, []).hits(["scum"]) == []
+
+
+def test_a_long_text_of_exception_phrases_takes_no_quadratic_time():
+    matcher = X.Matcher({" plague": 3.0}, [" plague doctor "])
+    start = time.perf_counter()
+    assert matcher.hits(["plague", "doctor"] * 100_000) == []
+    assert time.perf_counter() - start < 10
+
+
 def test_learns_and_spares_exceptions(spark, rows):
     docs, labels = rows
     d = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("*", "'x' key", "1 toxic", "'z' score")
