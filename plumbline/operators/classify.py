@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from plumbline.session import cut_lineage
 
 # Class labels of a load and of a two-sided reconciliation.
 LOAD_ACTIONS = ("NEW", "CHANGED", "UNCHANGED")
@@ -84,6 +90,71 @@ def classify(
     return _with_master(valid, master, keys, values).withColumn(out, action).drop("m")
 
 
+def carried_in_ranges(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
+    """Rows in ranges of (keys, order), kept, with the values that the row before brings.
+
+    Adds `_part` (the range), `_nth` (place in it, from 0) and `_before`: the values of
+    the row before as a struct, NULL where that one has other keys or lies in an earlier
+    range.  Each range is sorted and read once as a stream that holds one row; a key
+    with very many rows takes several ranges.  Missing key parts compare as equal; keys
+    of floating numbers aren't meant.
+    """
+    held = T.StructType([T.StructField("present", T.BooleanType()), *[T.StructField(v, df.schema[v].dataType) for v in values]])
+    added = [T.StructField("_part", T.IntegerType()), T.StructField("_nth", T.LongType()), T.StructField("_before", held)]
+    columns, keys, values = df.columns, list(keys), list(values)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, nth = None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            seen = pa.Table.from_batches([batch] if last is None else [last, batch])
+            skip = seen.num_rows - n
+            place = np.arange(skip, skip + n)
+            known = place > 0
+            previous = pa.array(place - 1, pa.int64(), mask=~known)
+            same = known
+            for k in keys:
+                whole = seen.column(k).combine_chunks()
+                here, there = whole.slice(skip), whole.take(previous)
+                equal = pc.or_(pc.fill_null(pc.equal(here, there), False), pc.and_(here.is_null(), there.is_null()))
+                same = same & equal.to_numpy(zero_copy_only=False)
+            brought = [seen.column(v).combine_chunks().take(previous) for v in values]
+            before = pa.StructArray.from_arrays(
+                [pa.array(np.ones(n, bool)), *brought], names=["present", *values], mask=pa.array(~same)
+            )
+            numbers = pa.array(np.arange(nth, nth + n, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in columns), batch.column("_part"), numbers, before],
+                names=[*columns, "_part", "_nth", "_before"],
+            )
+            last, nth = batch.slice(n - 1), nth + n
+
+    ranges = df.repartitionByRange(*keys, order).sortWithinPartitions(*keys, order)
+    numbered = ranges.withColumn("_part", F.spark_partition_id())
+    return cut_lineage(numbered.mapInArrow(work, T.StructType([*df.schema.fields, *added])))
+
+
+def with_previous(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
+    """Adds `_before`: the values of the same key's previous row by `order`, NULL if it is the first.
+
+    What a range ends with goes on to the next one; there is one such row per range, which
+    bounds the broadcast.
+    """
+    rows = carried_in_ranges(df, keys, order, values)
+    ends = rows.groupBy("_part").agg(F.max_by(F.struct(*keys, *values), "_nth").alias("_end"))
+    following = F.lead("_part").over(Window.partitionBy(F.lit(0)).orderBy("_part"))
+    ends = ends.select(following.alias("_part"), "_end").where("_part is not null").withColumn("_nth", F.lit(0).cast("bigint"))
+    goes_on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col("_end")[k]) for k in keys))
+    handed = F.when(
+        F.col("_end").isNotNull() & goes_on,
+        F.struct(F.lit(True).alias("present"), *[F.col("_end")[v].alias(v) for v in values]),
+    )
+    joined = rows.join(F.broadcast(ends), ["_part", "_nth"], "left")
+    return joined.select(*df.columns, F.coalesce("_before", handed).alias("_before"))
+
+
 def classify_in_order(
     valid: DataFrame,
     master: DataFrame,
@@ -94,27 +165,18 @@ def classify_in_order(
 ) -> DataFrame:
     """Classify many runs in one job as if they were loaded one after the other.
 
-    A row compares with the same key's previous run in the batch, and with the
-    master where it has none.  Valid rows are unique per run and key, so a
-    window holds at most one row per run.
+    A row compares with the same key's previous run in the batch.  Only the first row
+    of a key meets the master, so however often a key occurs, that join has it once.
+    Valid rows are unique per run and key.
     """
-    new, changed, unchanged = LOAD_ACTIONS
-    before = F.lag(F.struct(F.lit(True).alias("present"), *values)).over(
-        Window.partitionBy(*keys).orderBy(order)
-    )
-    seen = F.coalesce(F.col("_before"), F.col("m"))
-    held = F.struct(*[seen[v].alias(v) for v in values])
-    action = (
-        F.when(seen.isNull(), new)
-        .when(~F.struct(*values).eqNullSafe(held), changed)
-        .otherwise(unchanged)
-    )
-    return (
-        _with_master(valid, master, keys, values)
-        .withColumn("_before", before)
-        .withColumn(out, action)
-        .drop("m", "_before")
+    _, changed, unchanged = LOAD_ACTIONS
+    rows = with_previous(valid, keys, order, values)
+    held = F.struct(*[F.col("_before")[v].alias(v) for v in values])
+    later = rows.where("_before is not null").withColumn(
+        out, F.when(~F.struct(*values).eqNullSafe(held), changed).otherwise(unchanged)
     )
+    first = classify(rows.where("_before is null").drop("_before"), master, keys, values, out=out)
+    return first.unionByName(later.drop("_before"))
 
 
 def first_classifications(

@@ -157,6 +157,50 @@ def test_ordered_batch_equals_runs_loaded_one_by_one(spark):
     )
 
 
+def _ordered_by_hand(rows, master):
+    """Actions of (key, order, value) rows taken in order, one after the other."""
+    held, out = dict(master), {}
+    for key, at, value in sorted(rows, key=lambda r: r[1]):
+        out[key, at] = "NEW" if key not in held else "CHANGED" if held[key] != value else "UNCHANGED"
+        held[key] = value
+    return out
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_a_key_in_half_of_the_rows_is_split_over_ranges(spark, partitions):
+    rows = [("hot", at, at // 3 % 5) for at in range(20_000)]
+    rows += [(f"k{i % 3000}", 7 * i, None if i % 11 == 0 else i % 4) for i in range(20_000)]
+    master = [("hot", 0), ("k1", 3), ("k2", None), ("absent", 1)]
+    batch = spark.createDataFrame(rows, "k string, at bigint, v int").repartition(5)
+    known = spark.createDataFrame(master, "k string, v int")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+        got = C.classify_in_order(batch, known, "at", ["k"], ["v"]).collect()
+        ranges = C.carried_in_ranges(batch, ["k"], "at", ["v"]).groupBy("_part").count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert {(r.k, r["at"]): r.load_action for r in got} == _ordered_by_hand(rows, master)
+    assert len(got) == len(rows)
+    sizes = sorted(r["count"] for r in ranges)
+    assert len(sizes) == partitions and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_ordered_classification_of_missing_keys_and_of_nothing(spark):
+    rows = [(None, 1, 5), (None, 2, 5), (None, 3, None), ("a", 1, None), ("a", 2, None), ("a", 3, 1)]
+    batch = spark.createDataFrame(rows, "k string, at bigint, v int")
+    known = spark.createDataFrame([(None, 5)], "k string, v int")
+    got = {(r.k, r["at"]): r.load_action for r in C.classify_in_order(batch, known, "at", ["k"], ["v"]).collect()}
+    # A missing key part never meets the master, but it goes on within the batch.
+    assert got == {
+        (None, 1): "NEW", (None, 2): "UNCHANGED", (None, 3): "CHANGED",
+        ("a", 1): "NEW", ("a", 2): "UNCHANGED", ("a", 3): "CHANGED",
+    }
+    assert C.classify_in_order(batch.limit(0), known, "at", ["k"], ["v"]).collect() == []
+
+
 def test_upsert_twice_is_upsert_once(spark):
     now = F.lit(datetime(2024, 1, 1)).cast("timestamp")
     later = F.lit(datetime(2025, 1, 1)).cast("timestamp")
