@@ -255,6 +255,7 @@ def csv_rows(
 
 
 def arity_message() -> Column:
+    # Fixed value: the text that names a wrong field count.
     return F.format_string(
         "Malformed CSV at data row %d: expected %d fields, got %d",
         F.col("source_row_no"),
