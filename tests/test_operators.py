@@ -340,3 +340,32 @@ def test_rules_follow_from_declared_fields(spark):
     assert values == {1: ("AB", 5), 2: ("CD", None)}
     with pytest.raises(ValueError, match="one code"):
         Q.Feed(feed.fields, feed.key, "TWICE", {"TWICE": "x"})
+
+
+def test_drill_series_grow_in_many_tasks(spark, tmp_path):
+    spark.range(2500).select(F.col("id").alias("s_suppkey")).coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    series = X.drill_series(spark, str(tmp_path))
+    assert series.rdd.getNumPartitions() == 3
+    assert sorted(r["s"] for r in series.collect()) == list(range(1, 2501))
+
+
+def _raw_rows(spark):
+    return spark.range(0, 100, 1, 1).selectExpr(
+        "'r' AS run_id", "'S' AS source", "'01-Jan-2025' AS raw_rate_date",
+        "concat('X', if(id < 90, 0, id)) AS series_id", "'1' AS raw_rate", "id AS source_row_no",
+    )
+
+
+def _held(spark):
+    return spark.sql("SELECT 'S' AS source, DATE'2025-01-01' AS rate_date, 'X99' AS series_id, CAST(1 AS decimal(20,8)) AS rate")
+
+
+def _rebalanced(df):
+    return "RebalancePartitions" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_report_counts_keys_in_parts_of_bounded_size(spark):
+    report = V.reconciliation_report(_raw_rows(spark), _held(spark))
+    assert _rebalanced(report)
+    row = report.first()
+    assert (row["supplier_rows"], row["duplicate_affected_rows"], row["invalid_key_rows"], row["unchanged_rows"]) == (100, 90, 9, 1)
