@@ -369,3 +369,9 @@ def test_report_counts_keys_in_parts_of_bounded_size(spark):
     assert _rebalanced(report)
     row = report.first()
     assert (row["supplier_rows"], row["duplicate_affected_rows"], row["invalid_key_rows"], row["unchanged_rows"]) == (100, 90, 9, 1)
+
+
+def test_classified_rows_meet_in_parts_of_bounded_size(spark):
+    found = V.reconciled_rows(_raw_rows(spark), _held(spark))
+    assert _rebalanced(found)
+    assert [(r["source_row_no"], r["reconciliation_status"]) for r in found.collect()] == [(99, "UNCHANGED")]
