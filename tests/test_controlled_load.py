@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import classify as C
 from plumbline.plans.controlled_load import MASTER, ControlledLoad, LandingError
+from plumbline.session import LISTING_TASKS, few_listing_tasks
 from plumbline.sources.store import StateStore
 from plumbline.streaming.landing_stream import load_new_files
 
@@ -234,3 +236,26 @@ def test_a_load_opens_its_own_folders_and_periods_only(spark, tmp_path, monkeypa
     load.compact()
     assert load.store.total("master").first()["rows"] == load.master().count() == 6
     assert sorted(p.name for p in (tmp_path / "state" / "master").glob("v=*/period=*")) == ["period=2021", "period=2022"]
+
+
+def test_run_folders_are_listed_once_after_each_write(spark, tmp_path, monkeypatch):
+    opened, read = Counter(), StateStore.read_runs
+
+    def counted(self, name, *rest):
+        opened[name] += 1
+        return read(self, name, *rest)
+
+    load = make(spark, tmp_path)
+    path = land(tmp_path / "landing", "1.csv", "03-Jan-2023,0.6828,0.6397\n04-Jan-2023,,0.6411\n")
+    monkeypatch.setattr(StateStore, "read_runs", counted)
+    load.load(path)
+    assert [opened[t] for t in ("staging", "exceptions", "validated")] == [1, 2, 2]
+    assert counts(load) == {"1.csv": (4, 3, 1, 3, 0, 0)}
+
+
+def test_many_folders_are_listed_in_few_tasks(spark):
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    with few_listing_tasks(spark):
+        assert int(spark.conf.get(name)) <= LISTING_TASKS
+    assert spark.conf.get(name) == before
