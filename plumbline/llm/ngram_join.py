@@ -15,8 +15,11 @@ Shingles of many texts are left out of the parts: the bound on the difference
 holds for the rest as well, and passages that many texts share make nobody meet.
 Sets with few other shingles deal all of theirs; in between, sets do both, so
 that linked sets always have one way in common.  Sizes are split into bands with a scheme of parts each; a set near a border emits
-under both.  Sets that share a key are candidates; the components of candidates
-are families.
+under both.  At most d of a set's parts differ from those of a set linked to it, so
+they share all its filled parts but d.  Long texts share a part with many others by
+chance, but not that many: of a key of few sets all pairs are counted, and those with
+too few keys in common are no candidates.  A key of many sets makes all of them
+candidates.  The components of candidates are families.
 
 *Trees.*  A family is one block, or if it is too large, blocks by size band and
 hash that meet in pairs.  In each meeting the sets lie in the order of size and
@@ -53,6 +56,8 @@ _U = np.uint64
 #: A block's shingles and sets; a meeting of two holds twice that.
 BLOCK_SHINGLES, BLOCK_SETS = 500_000, 1_000
 FANOUT = 8
+#: Sets of a key of which all pairs are counted; a key of more makes a star.
+GROUP = 8
 #: Sets with a larger share of rare shingles meet by these alone.
 MOSTLY_RARE = 0.6
 #: Buckets of ids by which texts are chosen to be read again; the bound of that broadcast in bits.
@@ -89,22 +94,31 @@ def schemes(n: int, share: int) -> list[tuple[int, int]]:
     return out
 
 
-def dealt(spread: np.ndarray, apart: int, spare: int, name: int) -> np.ndarray:
-    """Keys of the parts of one scheme: of those with shingles, and of all if more than `spare` have none."""
+def dealt(spread: np.ndarray, apart: int, spare: int, name: int) -> tuple[np.ndarray, int]:
+    """Keys of the parts of one scheme: of those with shingles, and of all if more than `spare` have none.
+
+    Then how many of them a linked set has at least.
+    """
     parts = apart + 1 + spare
     part = (spread % _U(parts)).astype(np.int64)
     sums = np.zeros(parts, np.uint64)
     np.add.at(sums, part, spread | _U(1))
     full = np.bincount(part, minlength=parts) > 0
     keys = mix(sums ^ mix(np.arange(parts, dtype=np.uint64) + _U(name << 32)))
-    return keys if parts - int(full.sum()) > spare else keys[full]
+    filled = int(full.sum())
+    return keys if parts - filled > spare else keys[full], max(1, filled - apart)
 
 
 def keys_of(shingles: np.ndarray, share: int, frequent: np.ndarray) -> np.ndarray:
     """Keys of a set: sets that link share at least one, unless they are equal.  frequent: sorted."""
+    return keys_and_least(shingles, share, frequent)[0]
+
+
+def keys_and_least(shingles: np.ndarray, share: int, frequent: np.ndarray) -> tuple[np.ndarray, int]:
+    """Keys of a set, and how many of them every other set that it links with has at least."""
     n, out = len(shingles), []
     if 100 * n < share * (n + 1):
-        return np.zeros(0, np.int64)  # so small that only equal sets link
+        return np.zeros(0, np.int64), 1  # so small that only equal sets link
     spread = mix(shingles ^ _U(0x5851F42D4C957F2D))
     rare = spread
     if len(frequent):
@@ -119,7 +133,8 @@ def keys_of(shingles: np.ndarray, share: int, frequent: np.ndarray) -> np.ndarra
             out.append(dealt(rare, apart, apart // 3 + 1, 2 * band))
         if by_all:
             out.append(dealt(spread, apart, apart // 12 + 1, 2 * band + 1))
-    return np.concatenate(out).view(np.int64)
+    # Which scheme two linked sets have in common isn't known here.
+    return np.concatenate([keys for keys, _ in out]).view(np.int64), min(least for _, least in out)
 
 
 def _least_rare(share: int) -> float:
@@ -168,47 +183,98 @@ def sets_of(docs: DataFrame, size: int) -> DataFrame:
 
 
 def candidate_keys(docs: DataFrame, size: int, share: int) -> DataFrame:
-    """(set_id, key) of all sets; a task gives the keys of equal sets once."""
+    """(set_id, least, key) of all sets; a task gives the keys of equal sets once."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, size))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         given: set[int] = set()
         for batch in slices(batches, "text", 2 << 20):
-            ids, keys = [], []
+            ids, leasts, keys = [], [], []
             for s in shingle_sets(bytes_of(batch.column("text")), size):
                 i = set_id(s)
                 if i not in given:
                     given.add(i)
+                    found, least = keys_and_least(s, share, sent.value)
                     ids.append(i)
-                    keys.append(keys_of(s, share, sent.value))
+                    leasts.append(least)
+                    keys.append(found)
             if ids:
-                every = np.repeat(np.array(ids, np.int64), [len(k) for k in keys])
-                yield {"set_id": pa.array(every), "key": pa.array(np.concatenate(keys))}
+                each = [len(k) for k in keys]
+                yield {
+                    "set_id": pa.array(np.repeat(np.array(ids, np.int64), each)),
+                    "least": pa.array(np.repeat(np.array(leasts, np.int32), each)),
+                    "key": pa.array(np.concatenate(keys)),
+                }
 
     texts = docs.where("doc_id is not null").select(F.col("text").cast("string").alias("text"))
-    return mapped(texts, work, "set_id bigint,key bigint")
+    return mapped(texts, work, "set_id bigint,least int,key bigint")
+
+
+def pairs_of(key: np.ndarray, ids: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Rows a, b, need: pairs of sets of a key, and of how many keys in common they are candidates.
+
+    The rows are in the order of key and id, each once.  Sets of a key of many, and those that
+    need one key only, make a star around the first of them.
+    """
+    new = np.append(True, key[1:] != key[:-1])
+    run = np.cumsum(new) - 1
+    many = (np.bincount(run) > GROUP)[run]
+    sure = many | (least <= 1)
+    at = np.flatnonzero(sure)
+    first = np.append(True, run[at][1:] != run[at][:-1])[: len(at)]
+    centre = ids[at[first]][np.cumsum(first) - 1]
+    apart = ids[at] != centre
+    out = [np.stack([ids[at][apart], centre[apart], np.ones(int(apart.sum()), np.int64)])]
+    for k in range(1, min(GROUP, len(key))):
+        i = np.flatnonzero((run[k:] == run[:-k]) & ~many[k:] & ~(sure[k:] & sure[:-k]))
+        out.append(np.stack([ids[i + k], ids[i], np.maximum(least[i + k], least[i]).astype(np.int64)]))
+    return np.concatenate(out, axis=1)
 
 
 def candidate_edges(keys: DataFrame) -> DataFrame:
-    """(a, b): every set of a key with the key's least set, in one stream over one exchange."""
+    """(a, b, n, need): pairs of sets with how many keys they share here, in one stream over one exchange.
+
+    Pairs with need or more in all are candidates; `need` may be less in a part where they are sure.
+    """
+    if "least" not in keys.columns:
+        keys = keys.withColumn("least", F.lit(1))
+
+    def summed(parts: list[np.ndarray]) -> Iterator[dict]:
+        a, b, need = np.concatenate(parts, axis=1)
+        if len(a):
+            order = np.lexsort((b, a))
+            a, b, need = a[order], b[order], need[order]
+            cut = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+            n = np.diff(np.append(cut, len(a)))
+            yield {"a": pa.array(a[cut]), "b": pa.array(b[cut]), "n": pa.array(n), "need": pa.array(np.minimum.reduceat(need, cut))}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        last_key, last_centre = None, 0
+        held, parts = None, []  # held: rows of the key that the next batch may go on with
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, ids = (batch.column(c).to_numpy() for c in ("key", "set_id"))
-            new = np.append(last_key is None or key[0] != last_key, key[1:] != key[:-1])
-            run = np.cumsum(new)  # 0: goes on with the key of the batch before
-            centre = np.append(last_centre, ids[new])[run]
-            last_key, last_centre = key[-1], centre[-1]
-            apart = ids != centre
-            if apart.any():
-                pairs = np.unique(np.stack([ids[apart], centre[apart]], axis=1), axis=0)
-                yield {"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])}
-
-    dealt_out = keys.repartition("key").sortWithinPartitions("key", "set_id")
-    return mapped(dealt_out, work, "a bigint,b bigint")
+            rows = [batch.column(c).to_numpy() for c in ("key", "set_id", "least")]
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            key, ids, _ = rows
+            once = np.append(True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1]))
+            rows = [x[once] for x in rows]
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            if cut:
+                parts.append(pairs_of(*(x[:cut] for x in rows)))
+            held = [x[cut:] for x in rows]
+            if len(held[0]) > GROUP:
+                parts.append(pairs_of(*held))
+                # Enough to know it by; its last row, too, lest it come again.
+                held = [np.append(x[:GROUP], x[-1]) for x in held]
+            if sum(x.shape[1] for x in parts) > 500_000:
+                yield from summed(parts)
+                parts = []
+        if held is not None:
+            yield from summed([*parts, pairs_of(*held)])
+
+    dealt_out = keys.select("set_id", "least", "key").repartition("key").sortWithinPartitions("key", "set_id")
+    return mapped(dealt_out, work, "a bigint,b bigint,n bigint,need bigint")
 
 
 def set_id(shingles: np.ndarray) -> int:
@@ -351,8 +417,8 @@ def near_groups(docs: DataFrame, size: int = 5, share: int = 80) -> DataFrame:
         .groupBy("set_id")
         .agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"))
     )
-    edges = candidate_edges(candidate_keys(docs, size, share))
-    family = components(edges.distinct())
+    pairs = candidate_edges(candidate_keys(docs, size, share)).groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("need").alias("need"))
+    family = components(pairs.where("n >= need").select("a", "b"))
     family = family.unionByName(family.select(F.col("root").alias("node"), "root").distinct())
     members = stored(sets.join(family, sets["set_id"] == family["node"]).select("root", "set_id", "least", "n"))
 

@@ -110,3 +110,59 @@ def test_edges_come_from_one_pass_over_one_exchange(spark):
     keys = spark.createDataFrame([(s, k) for k, s in rows], "set_id bigint, key bigint")
     found = {(r["a"], r["b"]) for r in J.candidate_edges(keys).collect()}
     assert found == {(8, 6), (9, 6)}
+
+
+@pytest.mark.parametrize("common", [0, 5, 60, 100])
+def test_linked_sets_share_as_many_keys_as_either_needs(common):
+    rng = np.random.default_rng(common + 1)
+    for n in range(6, 600, 11):
+        base = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+        frequent = np.sort(rng.permutation(base)[: n * common // 100])
+        for changed in {1, 2, n * 6 // 100, n * 11 // 100}:
+            kept = rng.permutation(base)[: n - changed]
+            other = np.unique(np.append(kept, rng.integers(0, 1 << 62, int(rng.integers(0, changed + 1)), dtype=np.uint64)))
+            both = len(np.intersect1d(base, other))
+            if 100 * both >= 80 * (len(base) + len(other) - both):
+                (x, least), (y, least2) = (J.keys_and_least(s, 80, frequent) for s in (base, other))
+                assert len(np.intersect1d(x, y)) >= max(least, least2) >= 1
+
+
+def test_long_texts_that_share_a_few_keys_are_no_candidates(spark):
+    """Each shares a twelfth of its words with the next one, which made all of them one family."""
+    words = [f"w{i}" for i in range(60_000)]
+    docs = [(i, " ".join(words[2750 * i : 2750 * i + 3000])) for i in range(20)]
+    docs += [(100, docs[3][1] + " more"), (101, docs[3][1] + " other words")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    pairs = J.candidate_edges(J.candidate_keys(df, 5, 80)).groupBy("a", "b").agg({"n": "sum", "need": "min"}).collect()
+    assert len(pairs) > 3  # they do share keys
+    assert sum(r["sum(n)"] >= r["min(need)"] for r in pairs) == 3  # the three copies
+    got = {r["doc_id"]: r["component_id"] for r in J.near_groups(df, 5, 80).collect()}
+    assert got == {i: 3 if i >= 100 else i for i, _ in docs}
+
+
+def test_pairs_of_keys_that_go_on_over_batches(spark):
+    rng = random.Random(7)
+    rows = [(rng.randrange(30), rng.randrange(12)) for _ in range(260)] + [(99, s) for s in range(40)] * 2
+    least = {s: rng.choice([1, 1, 2, 5]) for s in range(40)}
+    df = spark.createDataFrame([(s, least[s], k) for k, s in rows], "set_id bigint, least int, key bigint")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        found = J.candidate_edges(df).groupBy("a", "b").agg({"n": "sum", "need": "min"}).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    kept = {(r["a"], r["b"]) for r in found if r["sum(n)"] >= r["min(need)"]}
+    groups = {}
+    for k, s in rows:
+        groups.setdefault(k, set()).add(s)
+    counted, sure = {}, set()
+    for own in groups.values():
+        if len(own) > J.GROUP:
+            sure |= {(s, min(own)) for s in own if s != min(own)}
+            continue
+        ones = sorted(s for s in own if least[s] == 1)
+        sure |= {(s, ones[0]) for s in ones[1:]}
+        for a in own:
+            for b in own:
+                if b < a and max(least[a], least[b]) > 1:
+                    counted[a, b] = counted.get((a, b), 0) + 1
+    assert kept == sure | {(a, b) for (a, b), n in counted.items() if n >= max(least[a], least[b])}
