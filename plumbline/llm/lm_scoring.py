@@ -46,6 +46,8 @@ WEIGHTS_PART = 5
 SHARDS = 16
 #: 6-grams whose costs are broadcast: 32 MB.
 GRAMS = 2_000_000
+#: Bits of the tables of places by which a task finds them, and the hash of each: 20 MB.
+PLACES = ((22, 0x9E3779B97F4A7C15), (20, 0xD6E8FEB86659FD93))
 #: 6-grams whose nodes are counted at a time, at least.
 BLOCK = 200_000
 #: Words that are broadcast, and their longest length in bytes.
@@ -237,14 +239,57 @@ def _opened(sent, key: str, build):
     return _OPEN[key][1]
 
 
+class Grams:
+    """Places of 6-grams: a table by hash, a second one for those whose slot is taken, the few left by search."""
+
+    def __init__(self, grams: np.ndarray):
+        self.grams, self.tables = grams, []
+        left = np.arange(len(grams), dtype=np.int32)
+        for bits, factor in PLACES:
+            table = np.full(1 << bits, -1, np.int32)
+            slots = self._slots(grams[left], bits, factor)
+            table[slots] = left
+            self.tables.append(table)
+            left = left[table[slots] != left]
+        self.left, self.rest = left, grams[left]
+
+    @staticmethod
+    def _slots(keys: np.ndarray, bits: int, factor: int) -> np.ndarray:
+        return ((keys * np.uint64(factor)) >> np.uint64(64 - bits)).view(np.int64)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 for those that aren't there."""
+        out = np.full(len(keys), -1, np.int32)
+        if not len(self.grams):
+            return out
+        open_ = None  # keys whose slots so far are taken by others
+        for table, (bits, factor) in zip(self.tables, PLACES, strict=True):
+            here = keys if open_ is None else keys[open_]
+            at = table[self._slots(here, bits, factor)]
+            hit = self.grams[at] == here
+            hit &= at >= 0
+            if open_ is None:
+                out = np.where(hit, at, np.int32(-1))
+                open_ = np.flatnonzero(~hit & (at >= 0))
+            else:
+                out[open_[hit]] = at[hit]
+                open_ = open_[~hit & (at >= 0)]
+        if len(self.rest) and len(open_):
+            here = keys[open_]
+            at = np.minimum(np.searchsorted(self.rest, here), len(self.rest) - 1)
+            hit = self.rest[at] == here
+            out[open_[hit]] = self.left[at[hit]]
+        return out
+
+
 def _score(batches: Iterator[pa.RecordBatch], model, head) -> Iterator[dict]:
     known = _opened(head, "head", lambda v: dict(zip(v[0], np.log10(v[1] + 1.0).tolist(), strict=True)))
+    grams, costs = _opened(model, "model", lambda v: (Grams(v[0]), v[1]))
     for batch in slices(batches, "text", 2 << 20):
         texts = bytes_of(batch.column("text"))
         keys, ends = M.keys_of(texts)
-        grams, costs = model.value
-        at = np.minimum(np.searchsorted(grams, keys), max(0, len(grams) - 1))
-        there = grams[at] == keys if len(grams) else np.zeros(len(keys), bool)
+        at = grams.places(keys)
+        there = at >= 0
         each = np.zeros((len(keys), 2))
         each[there] = costs[at[there]]
         each = np.add.reduceat(each, np.append(0, ends[:-1]), axis=0)

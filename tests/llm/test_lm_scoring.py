@@ -123,3 +123,17 @@ def test_no_contexts_share_a_place(spark, rows):
     for most in (0, 50):
         joined = [r["score"] for r in sorted(L.lm_scores(df, most_grams=most).collect(), key=key)]
         assert joined == pytest.approx(want, rel=1e-6)
+
+
+def test_places_of_grams_are_those_of_a_search(monkeypatch):
+    """Tables so small that most slots are taken by others."""
+    monkeypatch.setattr(L, "PLACES", ((6, 0x9E3779B97F4A7C15), (4, 0xD6E8FEB86659FD93)))
+    rng = np.random.default_rng(3)
+    grams = np.unique(rng.integers(0, 1 << 48, 90, dtype=np.uint64))
+    index = L.Grams(grams)
+    assert len(index.rest) > 10
+    keys = np.concatenate([rng.permutation(grams), rng.integers(0, 1 << 48, 200, dtype=np.uint64), grams[:3]])
+    at = index.places(keys)
+    for k, i in zip(keys.tolist(), at.tolist(), strict=True):
+        assert grams[i] == k if i >= 0 else k not in grams
+    assert (L.Grams(grams[:0]).places(keys) == -1).all() and not len(index.places(keys[:0]))
