@@ -2,7 +2,9 @@
 
 Phrases of 1 to 5 words are counted, one length after another: every task counts its
 phrases in a trie of word ids (`hat_trie`), which spills whole subtrees as sorted
-runs; runs are dealt out by prefix, the first two words, and merged there.
+runs; runs are cut into parts by prefix, the first two words, and the runs of a part are
+merged there.  A row is the run of a part, not a phrase of it: every task has most of the
+frequent phrases, and a larger corpus has more tasks and more phrases of `least`.
 
 Most phrases are too rare to matter, and two things keep them out of the tries.  A
 phrase can be frequent only if both phrases of one word less in it are.  And the
@@ -48,6 +50,8 @@ FILTER_BITS = 1 << 26
 #: Cells are 32 bits wide and counted in so many parts.
 PART_BITS = 8
 PARTS = 1 << PART_BITS
+#: Phrases of which a run is made at a time.
+RUN = 1 << 18
 #: Copies of a language's total, so that its rows don't meet in one task.
 COPIES = 32
 
@@ -62,15 +66,16 @@ _BYTE = np.random.default_rng(20250613).integers(1, 1 << 63, 256, dtype=np.uint6
 
 
 class Room(NamedTuple):
-    """Entries of a container and of a trie, cells of a task, bytes of text at a time."""
+    """Entries of a container and of a trie, cells of a task, bytes of text and entries to merge at a time."""
 
     burst: int = 4096
     entries: int = 500_000
     cells: int = 2_000_000
     text: int = 1 << 20
+    merge: int = 1 << 20
 
 
-_RUNS = "lang string,prefix bigint,phrase binary,n bigint"
+_RUNS = "lang string,part int,phrases binary,counts binary"
 _LEVEL = "lang string,phrase binary,f bigint,bit bigint"
 _CELLS = "part int,lang string,cells binary,counts binary,n bigint"
 
@@ -153,20 +158,57 @@ def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 # Runs and their merge -------------------------------------------------------------
 
 
-def prefix_of(lang: str, phrase: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(phrase[: 2 * WIDTH], seed_of(lang)) - (1 << 63)
+def ids_hashes(ids: np.ndarray, seed: int) -> np.ndarray:
+    """Hash of each row of ids, as `phrase_hashes` has it."""
+    out = np.full(len(ids), seed, _U)
+    for k in range(ids.shape[1]):
+        out = mix((out ^ ids[:, k]) * _U(0x9E3779B97F4A7C15) + _U(k + 1))
+    return out
+
+
+def ids_of(phrases: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(phrases, ">u8").astype(_U).reshape(-1, size)
 
 
-def runs_out(entries: Iterator[tuple[str, bytes, int]]) -> Iterator[dict]:
-    names = ("lang", "prefix", "phrase", "n")
-    rows: list[tuple] = []
+def cut_by_prefix(lang: str, phrases: list[bytes], counts: list[int], size: int) -> Iterator[dict]:
+    """A run's rows: the phrases of a part in order, and their counts."""
+    ids, n = ids_of(b"".join(phrases), size), np.array(counts, "<i8")
+    part = ids_hashes(ids[:, :2], seed_of(lang)) >> _U(64 - PART_BITS)
+    order = np.argsort(part, kind="stable")
+    ids, n = ids[order].astype(">u8"), n[order]
+    cuts = np.searchsorted(part[order], np.arange(PARTS + 1, dtype=_U)).tolist()
+    parts = [(p, a, b) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+    yield {
+        "lang": [lang] * len(parts),
+        "part": [p for p, _, _ in parts],
+        "phrases": [ids[a:b].tobytes() for _, a, b in parts],
+        "counts": [n[a:b].tobytes() for _, a, b in parts],
+    }
+
+
+def runs_out(entries: Iterator[tuple[str, bytes, int]], size: int) -> Iterator[dict]:
+    held: dict[str, tuple[list[bytes], list[int]]] = {}
+    total = 0
     for lang, phrase, n in entries:
-        rows.append((lang, prefix_of(lang, phrase), phrase, n))
-        if len(rows) >= 50_000:
-            yield dict(zip(names, zip(*rows, strict=True), strict=True))
-            rows = []
-    if rows:
-        yield dict(zip(names, zip(*rows, strict=True), strict=True))
+        phrases, counts = held.get(lang) or held.setdefault(lang, ([], []))
+        phrases.append(phrase)
+        counts.append(n)
+        total += 1
+        if total >= RUN:
+            for own, run in held.items():
+                yield from cut_by_prefix(own, *run, size)
+            held, total = {}, 0
+    for own, run in held.items():
+        yield from cut_by_prefix(own, *run, size)
+
+
+def summed(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Runs as one, each phrase once."""
+    ids, n = (np.concatenate(x) for x in zip(*runs, strict=True))
+    order = np.lexsort(ids.T[::-1])
+    ids, n = ids[order], n[order]
+    cut = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]).any(axis=1)))
+    return ids[cut], np.add.reduceat(n, cut)
 
 
 def windows(ids: np.ndarray, size: int) -> np.ndarray:
@@ -197,49 +239,47 @@ def phrase_runs(tokens: DataFrame, size: int, sent: Broadcast, room: Room) -> Da
             for a, b in zip(cuts, cuts[1:], strict=False):
                 rest = [rests[step * i : step * (i + 1)] for i in range(a, b)]
                 trie.add(lang, heads[WIDTH * a : WIDTH * (a + 1)], rest, counts[a:b])
-            yield from runs_out(trie.overflow())
-        yield from runs_out(trie.rest())
+            yield from runs_out(trie.overflow(), size)
+        yield from runs_out(trie.rest(), size)
 
     return mapped(tokens, work, _RUNS)
 
 
-def merged(runs: DataFrame, size: int, least: int) -> DataFrame:
-    """Phrases of `least` occurrences or more: a stream over the runs of each prefix partition."""
+def merged(runs: DataFrame, size: int, least: int, room: Room = Room()) -> DataFrame:
+    """Phrases of `least` occurrences or more: the runs of a part at a time, folded as they come."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        key, total = None, 0
-        rows: list[tuple] = []
-
-        def out() -> dict:
-            ids = np.frombuffer(b"".join(r[1] for r in rows), ">u8").astype(_U).reshape(len(rows), size)
-            place = np.empty(len(rows), np.int64)
-            langs = [r[0] for r in rows]
-            for lang in set(langs):
-                own = np.flatnonzero(np.array([x == lang for x in langs]))
-                hashes = np.full(len(own), seed_of(lang), _U)
-                for k in range(size):
-                    hashes = mix((hashes ^ ids[own, k]) * _U(0x9E3779B97F4A7C15) + _U(k + 1))
-                place[own] = (hashes & _U(FILTER_BITS - 1)).astype(np.int64)
-            return {"lang": langs, "phrase": [r[1] for r in rows], "f": [r[2] for r in rows], "bit": pa.array(place)}
+        now, pieces, held, once = None, [], 0, 0
+
+        def close() -> Iterator[dict]:
+            if not pieces:
+                return
+            ids, n = summed(pieces)
+            ids, n = ids[n >= least], n[n >= least]
+            place = (ids_hashes(ids, seed_of(now[0])) & _U(FILTER_BITS - 1)).astype(np.int64)
+            raw = ids.astype(">u8").tobytes()
+            yield {
+                "lang": [now[0]] * len(n),
+                "phrase": [raw[i : i + WIDTH * size] for i in range(0, len(raw), WIDTH * size)],
+                "f": pa.array(n.astype(np.int64)),
+                "bit": pa.array(place),
+            }
 
         for batch in batches:
-            for lang, phrase, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase", "n")), strict=True):
-                if (lang, phrase) == key:
-                    total += n
-                else:
-                    if key is not None and total >= least:
-                        rows.append((*key, total))
-                    key, total = (lang, phrase), n
-            if len(rows) >= 20_000:
-                yield out()
-                rows.clear()
-        if key is not None and total >= least:
-            rows.append((*key, total))
-        if rows:
-            yield out()
-
-    dealt = runs.repartition("prefix").sortWithinPartitions("lang", "phrase")
-    return mapped(dealt.select("lang", "phrase", "n"), work, _LEVEL)
+            columns = (batch.column(c).to_pylist() for c in ("lang", "part", "phrases", "counts"))
+            for lang, part, phrases, counts in zip(*columns, strict=True):
+                if (lang, part) != now:
+                    yield from close()
+                    now, pieces, held, once = (lang, part), [], 0, 0
+                pieces.append((ids_of(phrases, size), np.frombuffer(counts, "<i8")))
+                held += len(pieces[-1][1])
+                if held > room.merge + 2 * once:
+                    pieces = [summed(pieces)]
+                    held = once = len(pieces[0][1])
+        yield from close()
+
+    dealt = runs.repartition("lang", "part").sortWithinPartitions("lang", "part")
+    return mapped(dealt, work, _LEVEL)
 
 
 def filter_of(level: DataFrame) -> np.ndarray:
@@ -489,7 +529,7 @@ def collocations(
             bits = filter_of(often(phrase_cells(tokens, size, sent, room), least))
             sent.destroy()
             sent = send(bits)
-        levels.append(stored(merged(phrase_runs(tokens, size, sent, room), size, least)))
+        levels.append(stored(merged(phrase_runs(tokens, size, sent, room), size, least, room)))
         sent.destroy()
         if size < longest:
             sent = send(filter_of(levels[-1]))

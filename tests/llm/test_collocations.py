@@ -117,3 +117,25 @@ def test_trie_bursts_spills_subtrees_in_order_and_counts():
         for _, p, n in run:
             got[p] += n
     assert got == expected
+
+
+def test_a_row_of_runs_is_a_part_and_parts_sum_to_the_counts(spark):
+    """Every task's phrases make a row per part at most, however many they are."""
+    rng = random.Random(8)
+    entries = [("en" if rng.random() < 0.7 else "de", b"".join(rng.randbytes(8) for _ in range(3)), 1) for _ in range(3000)]
+    entries += rng.sample(entries, 900)
+    rows = [r for block in C.runs_out(iter(entries), 3) for r in zip(*block.values(), strict=True)]
+    assert len(rows) <= 2 * C.PARTS
+    where = {}
+    for lang, part, phrases, _ in rows:
+        for i in range(0, len(phrases), 24):
+            assert where.setdefault((lang, phrases[i : i + 16]), part) == part  # a prefix lies in one part
+    runs = spark.createDataFrame(rows, "lang string, part int, phrases binary, counts binary").repartition(3)
+    got = {(r["lang"], bytes(r["phrase"])): r["f"] for r in C.merged(runs, 3, 2).collect()}
+    assert got == {x: n for x, n in Counter((a, b) for a, b, _ in entries).items() if n >= 2}
+
+
+def test_runs_of_a_part_are_folded_as_they_come(spark):
+    docs = corpus(6, 60)
+    df = spark.createDataFrame(docs, "lang string, text string").repartition(5)
+    assert set(rows(C.collocations(df, 5, 5, room=C.Room(merge=2)))) == brute(docs, 5, 5, 100, 2000)
