@@ -284,7 +284,8 @@ class Grams:
 
 def _score(batches: Iterator[pa.RecordBatch], model, head) -> Iterator[dict]:
     known = _opened(head, "head", lambda v: dict(zip(v[0], np.log10(v[1] + 1.0).tolist(), strict=True)))
-    grams, costs = _opened(model, "model", lambda v: (Grams(v[0]), v[1]))
+    sorted_grams, costs = model.value
+    grams = Grams(sorted_grams)  # for this task alone: kept, the worker would hold it in later stages too
     for batch in slices(batches, "text", 2 << 20):
         texts = bytes_of(batch.column("text"))
         keys, ends = M.keys_of(texts)
