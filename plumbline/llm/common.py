@@ -12,6 +12,8 @@ from plumbline.session import shared_folder  # noqa: F401  used here and by othe
 
 #: White space between words: fixed by the contracts of the queries.
 SPACE = r"[\x20\x09-\x0D]+"
+#: Buckets of ids that a broadcast marks, 64 in a row of it: 262,144 rows at most.
+MARKS = 1 << 24
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,11 +49,30 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def parted(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of `docs` whose doc_id may be in the one column of `ids`, and those whose doc_id surely isn't.
+
+    A broadcast of the marked buckets of ids tells them apart, so that texts needn't be shuffled;
+    a missing id has a bucket, too.  The fuller the buckets, the more rows are in the first part.
+    """
+    word, marks = unused(docs, "word"), unused(docs, "marks")
+
+    def bucket(i: Column) -> Column:
+        return F.pmod(F.xxhash64(i.cast("bigint")), F.lit(MARKS).cast("bigint"))
+
+    own, here = bucket(F.col(ids.columns[0])), bucket(F.col("doc_id"))
+    mark = F.call_function("shiftleft", F.lit(1).cast("bigint"), (own % 64).cast("int"))
+    marked = F.broadcast(ids.select(F.shiftright(own, 6).alias(word), mark.alias(marks)).groupBy(word).agg(F.bit_or(marks).alias(marks)))
+    hit = (F.shiftright(here, 6) == F.col(word)) & (F.getbit(F.col(marks), (here % 64).cast("int")) == 1)
+    return docs.join(marked, hit, "left_semi"), docs.join(marked, hit, "left_anti")
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Rows of `docs` whose doc_id isn't in the one column of `gone`, all columns; rows without id stay."""
     name = unused(docs, "gone")
-    ids = gone.toDF(name).where(F.col(name).isNotNull()).distinct()
-    return docs.join(ids, docs["doc_id"].cast("bigint") == ids[name], "left_anti")
+    ids = stored(gone.toDF(name).where(F.col(name).isNotNull()).distinct())
+    asked, clear = parted(docs, ids)
+    return clear.unionByName(asked.join(ids, F.col("doc_id").cast("bigint") == F.col(name), "left_anti"))
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import SPACE, mapped, row_key, stored, unused
+from plumbline.llm.common import SPACE, mapped, parted, row_key, stored, unused
 
 _ENTRY = "run bigint,digest binary,n_bytes bigint,second bigint,no_id boolean,keep_id bigint,keep_row bigint,size bigint"
 _ORDER = ("run", "digest", "n_bytes", "second")
@@ -127,11 +127,12 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.max("kept").alias(stays), F.count("*").alias(rows))
         .where(~F.col(stays) | (F.col(rows) > 1))
     )
-    tagged = docs.withColumn(own, F.sha2(normalised(F.col("text")).cast("binary"), 256))
+    sha256 = F.sha2(normalised(F.col("text")).cast("binary"), 256)
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(key)) & (F.col(own) == F.col(sha))
-    single = tagged.join(verdict, same, "left_anti").select(names)
+    # Only rows whose id may have a verdict are hashed again and shuffled.
+    asked, clear = parted(docs, verdict.select(key))
+    single = asked.withColumn(own, sha256).join(verdict, same, "left_anti").select(names)
     # Repeated rows with one id: one of them stays.
-    repeated = (
-        tagged.join(verdict.where(F.col(stays)), same, "left_semi").dropDuplicates(["doc_id", own]).select(names)
-    )
-    return single.unionByName(repeated)
+    twice = verdict.where(F.col(stays))
+    repeated = parted(docs, twice.select(key))[0].withColumn(own, sha256).join(twice, same, "left_semi")
+    return clear.unionByName(single).unionByName(repeated.dropDuplicates(["doc_id", own]).select(names))

@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import mapped, row_key, slices, stored, without
+from plumbline.llm.common import mapped, parted, row_key, slices, stored, without
 from plumbline.llm.components import components
 from plumbline.llm.shingles import bytes_of, mix, shingle_sets
 
@@ -60,8 +60,6 @@ FANOUT = 8
 GROUP = 8
 #: Sets with a larger share of rare shingles meet by these alone.
 MOSTLY_RARE = 0.6
-#: Buckets of ids by which texts are chosen to be read again; the bound of that broadcast in bits.
-BUCKETS = 1 << 22
 
 
 # Candidate keys ---------------------------------------------------------------
@@ -446,28 +444,20 @@ def near_groups(docs: DataFrame, size: int = 5, share: int = 80) -> DataFrame:
     )
     calls = stored(in_one.unionByName(in_pairs))
 
-    # The shingles of the sets that meet, computed again from texts whose id falls in
-    # a marked bucket; others than the wanted drop out at the join.
-    marked = np.zeros(BUCKETS, bool)
-    wanted = calls.select(F.pmod(F.xxhash64(F.col("least").cast("bigint")), F.lit(BUCKETS)).alias("b")).distinct()
-    marked[wanted.toPandas()["b"].to_numpy(np.int64)] = True
-    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(marked))
-
+    # The shingles of the sets that meet, computed again from texts whose id may be
+    # wanted; others than the wanted drop out at the join.
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        marks, done = np.unpackbits(sent.value).astype(bool), set()
+        done = set()
         for batch in slices(batches, "text", 2 << 20):
-            hit = marks[batch.column("bucket").to_numpy()]
-            texts = [x for x, y in zip(bytes_of(batch.column("text")), hit.tolist(), strict=True) if y]
-            found = {set_id(s): s for s in shingle_sets(texts, size)}
+            found = {set_id(s): s for s in shingle_sets(bytes_of(batch.column("text")), size)}
             new = [i for i in found if i not in done]
             done.update(new)
             if new:
                 yield {"set_id": new, "shingles": [found[i].tobytes() for i in new]}
 
-    texts = docs.where("doc_id is not null").select(
-        F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(BUCKETS)).alias("bucket"), F.col("text").cast("string").alias("text")
-    )
-    found = mapped(texts, again, "set_id bigint,shingles binary")
+    texts = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text"))
+    asked = parted(texts, calls.select("least"))[0].select("text")
+    found = mapped(asked, again, "set_id bigint,shingles binary")
     ready = calls.select("set_id", "side", "meeting").join(found, "set_id").repartition("meeting")
     linked = components(links(ready.sortWithinPartitions("meeting", "set_id"), share))
 
