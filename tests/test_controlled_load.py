@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import classify as C
-from plumbline.plans.controlled_load import MASTER, ControlledLoad, LandingError
-from plumbline.session import LISTING_TASKS, few_listing_tasks
+from plumbline.operators import upsert as U
+from plumbline.plans.controlled_load import MASTER, REJECTIONS, RUN_TABLES, ControlledLoad, LandingError
+from plumbline.session import LISTING_TASKS, few_listing_tasks, hashed_joins
 from plumbline.sources.store import StateStore
 from plumbline.streaming.landing_stream import load_new_files
 
@@ -259,3 +260,78 @@ def test_many_folders_are_listed_in_few_tasks(spark):
     with few_listing_tasks(spark):
         assert int(spark.conf.get(name)) <= LISTING_TASKS
     assert spark.conf.get(name) == before
+
+
+def land_three(load, folder):
+    for i in (1, 2, 3):
+        path = land(folder, f"{i}.csv", f"0{i}-Jan-2023,0.6{i},0.5\n")
+    land(folder, "bad.csv", "no header\n", head="")
+    load.load(path)
+    names = load.registry().select("run_id", F.regexp_extract("source_url", r"([^/]+)$", 1).alias("n")).collect()
+    return path, {r.n: r.run_id for r in names}
+
+
+def test_a_load_has_one_folder_in_each_table_however_many_runs(spark, tmp_path):
+    load = make(spark, tmp_path)
+    land_three(load, tmp_path / "landing")
+    for name in ("bronze", "structural_exceptions", "staging", "validated"):
+        assert [p.name for p in (tmp_path / "state" / name).iterdir() if p.is_dir()] == ["load_id=1"]
+        assert not list((tmp_path / "state" / name).glob("**/run_id=*"))
+    assert load.table("staging").select("run_id").distinct().count() == 3
+
+
+def test_dropping_a_run_keeps_the_others_of_its_load(spark, tmp_path):
+    load = make(spark, tmp_path)
+    path, runs = land_three(load, tmp_path / "landing")
+    kept = {n: load.table(n).where(F.col("run_id") != runs["2.csv"]).count() for n in ("bronze", "staging", "validated")}
+    load.store.drop_run(runs["2.csv"], {**RUN_TABLES, **REJECTIONS})
+    for name, rows in kept.items():
+        left = load.table(name)
+        assert left.count() == rows > 0 and left.where(F.col("run_id") == runs["2.csv"]).isEmpty()
+        assert [p.name for p in (tmp_path / "state" / name).glob("load_id=*")] == ["load_id=2"]
+    assert {r.run_id for r in load.store.newest_loads().collect()} == set(runs.values()) - {runs["2.csv"]}
+    assert {r.run_id for r in load._rejected().collect()} == {runs["bad.csv"]}
+
+
+def test_a_resumed_run_belongs_to_the_new_load_alone(spark, tmp_path, monkeypatch):
+    load = make(spark, tmp_path)
+    monkeypatch.setattr(ControlledLoad, "_close", lambda self, work: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        land_three(load, tmp_path / "landing")
+    monkeypatch.undo()
+    bronze = load.table("bronze").count()
+    land(tmp_path / "landing", "4.csv", "01-Jan-2023,0.61,0.7\n")
+    load.load(str(tmp_path / "landing"))
+    assert {r.load_id for r in load.store.newest_loads().collect()} == {1, 2}  # the rejected file isn't taken up again
+    assert load.table("bronze").count() == bronze + 4
+    assert counts(load)["1.csv"] == (2, 2, 0, 2, 0, 0) and counts(load)["4.csv"] == (2, 2, 0, 0, 1, 1)
+    assert load.table("validated").count() == 8
+
+
+def test_joins_of_a_load_leave_the_setting_as_it_was(spark):
+    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = spark.conf.get(name)
+    with hashed_joins(spark):
+        assert spark.conf.get(name) != before
+    assert spark.conf.get(name) == before
+
+
+def test_last_candidates_by_run_number(spark):
+    rows = [("FX", d, s, n, Decimal(f"{v}.00000000"), f"r{n}") for d, s, n, v in (
+        ("2023-01-01", "A", 3, 5), ("2023-01-01", "A", 1, 9), ("2023-01-01", "A", 2, 7), ("2023-01-02", "A", 2, 1), (None, "A", 1, 4), (None, "A", 3, 2))]
+    df = spark.createDataFrame(rows, "source string, rate_date string, series_id string, load_order bigint, rate decimal(20,8), run_id string")
+    runs = df.select("run_id", "load_order").distinct()
+    want = U.last_candidates(df, "load_order")
+    got = U.last_candidates(df, "load_order", runs=runs)
+    assert got.columns == want.columns and Counter(got.collect()) == Counter(want.collect()) and got.count() == 3
+
+
+def test_a_log_without_a_snapshot_is_read_entry_over_entry(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path / "state"))
+    schema = "source string, rate_date string, series_id string, rate int"
+    for rows in ([("a", 1), ("b", 1), ("c", 1)], [("b", 2), ("d", 2)], [("d", 3), ("c", 3)]):
+        store.log_changes("m", spark.createDataFrame([("FX", "d", s, v) for s, v in rows], schema))
+    assert {(r.series_id, r.rate) for r in store.current("m", schema).collect()} == {("a", 1), ("b", 2), ("c", 3), ("d", 3)}
+    store.compact("m", schema)
+    store.log_changes("m", spark.createDataFrame([("FX", "d", "a", 4)], schema))
+    assert {(r.series_id, r.rate) for r in store.current("m", schema).collect()} == {("a", 4), ("b", 2), ("c", 3), ("d", 3)}
